@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskscan.functions.classify import normalise_pii_types, pc_from_keywords, types_named_in
@@ -107,23 +107,14 @@ def types_in_text(response: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
 
 
 class Field:
-    """One top-level member of a parsed object and the kind of value it holds."""
-
-    def __init__(self, parsed: Column, name: str):
-        path = f"$.{name}"
-        self.value = F.try_variant_get(parsed, path, "variant")
-        self.string = F.try_variant_get(parsed, path, "string")
-        self.items = F.try_variant_get(parsed, path, "array<variant>")
-        schema = F.schema_of_variant(self.value)
-        self.kind = (
-            F.when(schema.isNull(), "missing")
-            .when(schema == "VOID", "null")
-            .when(schema == "STRING", "string")
-            .when(schema == "BOOLEAN", "bool")
-            .when(F.startswith(schema, F.lit("ARRAY")), "array")
-            .when(F.startswith(schema, F.lit("OBJECT")), "object")
-            .otherwise("number")
-        )
+    """One top-level member of a parsed object and the kind of value it holds.
+
+    The pieces are bound as columns of their own (``with_field``), because the
+    rules look at them many times.
+    """
+
+    def __init__(self, name: str):
+        self.string, self.kind, self.items = (F.col(f"_{name}_{part}") for part in ("string", "kind", "items"))
 
     def is_a(self, *kinds: str) -> Column:
         return self.kind.isin(*kinds)
@@ -157,3 +148,25 @@ class Field:
 def any_of(*conditions: Column) -> Column:
     """OR that treats null as false."""
     return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions])
+
+
+def with_field(df: DataFrame, parsed: str, name: str) -> tuple[DataFrame, Field]:
+    """Adds the string, the kind and the list items of member ``name`` of a parsed column."""
+    path = f"$.{name}"
+    schema = F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+    df = df.withColumns({
+        f"_{name}_schema": schema,
+        f"_{name}_string": F.try_variant_get(parsed, path, "string"),
+        f"_{name}_items": F.try_variant_get(parsed, path, "array<variant>"),
+    })
+    found = F.col(f"_{name}_schema")
+    kind = (
+        F.when(found.isNull(), "missing")
+        .when(found == "VOID", "null")
+        .when(found == "STRING", "string")
+        .when(found == "BOOLEAN", "bool")
+        .when(F.startswith(found, F.lit("ARRAY")), "array")
+        .when(F.startswith(found, F.lit("OBJECT")), "object")
+        .otherwise("number")
+    )
+    return df.withColumn(f"_{name}_kind", kind), Field(name)

@@ -9,7 +9,6 @@ from riskscan.functions.classify import normalise_pii_types, pc_from_keywords, p
 from riskscan.functions.matching import filter_risks_by_l2
 from riskscan.functions.responses import (
     MAX_RISKS,
-    Field,
     any_of,
     extract_json,
     l2_in_text,
@@ -17,6 +16,7 @@ from riskscan.functions.responses import (
     risks_for_l2_text,
     risks_in_text,
     types_in_text,
+    with_field,
 )
 from riskscan.functions.text import btrim_u, label_key
 from riskscan.taxonomy import DEFAULT, Taxonomy, str_array
@@ -82,7 +82,8 @@ def flatten_results(df: DataFrame) -> DataFrame:
 
 def _risk_stage(df: DataFrame, applies: Column, taxonomy: Taxonomy) -> DataFrame:
     """Adds _r_state (ok / error / fallback), _r_l2 and _r_risks."""
-    l2, risks = Field(F.col("_json"), "l2_category"), Field(F.col("_json"), "macro_risks")
+    df, l2 = with_field(df, "_json", "l2_category")
+    df, risks = with_field(df, "_json", "macro_risks")
     known = F.element_at(F.create_map(*[c for k in taxonomy.macro_risks for c in (F.lit(k), F.lit(True))]),
                          label_key(l2.string))
     scalar = risks.is_a("number", "bool")
@@ -112,7 +113,8 @@ def _risk_stage(df: DataFrame, applies: Column, taxonomy: Taxonomy) -> DataFrame
 
 def _pii_stage(df: DataFrame, applies: Column, text: Column, taxonomy: Taxonomy) -> DataFrame:
     """Adds _p_state (ok / error / fallback), _p_pc and _p_types."""
-    pc, types = Field(F.col("_json"), "pc_category"), Field(F.col("_json"), "pii_types")
+    df, pc = with_field(df, "_json", "pc_category")
+    df, types = with_field(df, "_json", "pii_types")
     unusable = any_of(types.is_a("null", "number", "bool"), ~types.only_strings)
     state = F.when(F.col("_json").isNull(), "fallback").when(unusable, "error").otherwise("ok")
     df = df.withColumn("_p_state", F.when(applies, state))

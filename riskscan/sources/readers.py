@@ -11,11 +11,10 @@ import os
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskscan.functions.responses import Field
 from riskscan.functions.text import btrim_u
 from riskscan.operators.findings import raw_to_examples
 from riskscan.operators.texts import dedupe_texts
@@ -29,6 +28,7 @@ MISSING_CELLS = [
 ]
 TEXT_NAME_PARTS = ["text", "description", "content", "finding", "detail"]
 TEXT_KEYS = ["text", "description", "content"]
+EMPTY_JSON = ["false", "0", "0.0", "[]", "{}"]
 
 EXAMPLE_SCHEMA = T.StructType.fromDDL(
     "type string, text string, l2_category string, macro_risks array<string>, pc_category string, "
@@ -170,29 +170,25 @@ def texts_from_lines(lines: DataFrame) -> DataFrame:
     return lines.select(btrim_u(F.col("value")).alias("text")).where("text <> ''")
 
 
-def _entry_text(entry: Column) -> Column:
-    """The text of one JSON entry: the first of the three keys that is *present* counts,
-    even when its value is null, and an empty value gives nothing."""
-    fields = [Field(entry, key) for key in TEXT_KEYS]
-    picked = F.lit(None).cast("string")
-    for field in reversed(fields):
-        picked = F.when(field.is_a("missing"), picked).otherwise(F.when(~field.falsy, field.string))
-    return F.when(F.startswith(F.schema_of_variant(entry), F.lit("OBJECT")), picked)
+def _entry_texts(entries: DataFrame, entry: str) -> DataFrame:
+    """The texts of parsed JSON entries: the first of the three keys that is *present*
+    counts, even when its value is JSON null, and an empty value gives nothing."""
+    value = F.coalesce(*[F.try_variant_get(entry, f"$.{key}", "variant") for key in TEXT_KEYS])
+    cells = entries.select(F.schema_of_variant(value).alias("_kind"), value.cast("string").alias("text"))
+    empty = F.when(F.col("_kind") == "STRING", F.col("text") == "").otherwise(F.col("text").isin(*EMPTY_JSON))
+    return cells.where(F.col("text").isNotNull() & ~empty).select("text")
 
 
 def texts_from_jsonl(lines: DataFrame) -> DataFrame:
     """S4b. One object per line; malformed lines and other JSON drop out."""
-    entries = lines.select(F.try_parse_json("value").alias("_v"))
-    return entries.select(_entry_text(F.col("_v")).alias("text")).where(F.col("text").isNotNull())
+    return _entry_texts(lines.select(F.try_parse_json("value").alias("_v")), "_v")
 
 
 def texts_from_json(documents: DataFrame) -> DataFrame:
     """S4c. Each ``value`` is a whole JSON document: one object or an array of objects."""
     parsed = documents.select(F.try_parse_json("value").alias("_v"))
-    is_array = F.startswith(F.schema_of_variant("_v"), F.lit("ARRAY"))
-    members = F.when(is_array, F.try_variant_get("_v", "$", "array<variant>")).otherwise(F.array("_v"))
-    entries = parsed.select(F.explode(members).alias("_e"))
-    return entries.select(_entry_text(F.col("_e")).alias("text")).where(F.col("text").isNotNull())
+    members = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"), F.array("_v"))
+    return _entry_texts(parsed.select(F.explode(members).alias("_e")), "_e")
 
 
 def text_column(columns: list[str]) -> str | None:
