@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskscan.functions.text import BLANK, WORD, btrim_u, pick
-from riskscan.taxonomy import DEFAULT, Taxonomy, literal_map, str_array
+from riskscan.taxonomy import DEFAULT, Taxonomy, literal, str_array
 
 # --------------------------------------------------------------------------
 # They have to be exactly these for results to agree.
@@ -83,23 +83,27 @@ def count_contained(text: Column, words: list[str]) -> Column:
     return reduce(add, [F.contains(text, F.lit(w)).cast("int") for w in words])
 
 
-def route_scores(text: Column) -> tuple[Column, Column]:
-    """(risk score, pii score) of C1."""
-    low = F.lower(text)
+def route_scores(low: Column) -> tuple[Column, Column]:
+    """(risk score, pii score) of C1 for lower-cased text."""
     return count_contained(low, ROUTE_RISK_WORDS), count_contained(low, ROUTE_PII_WORDS)
 
 
-def route_text(text: Column) -> Column:
-    """C1. ``risk`` or ``pii``; a few unmistakable words decide for pii at once."""
-    risk, pii = route_scores(text)
+def route_by_scores(low: Column, risk: Column, pii: Column) -> Column:
+    """C1 from the scores; a few unmistakable words decide for pii at once."""
     return (
-        F.when(contains_any(F.lower(text), ROUTE_PII_OVERRIDE), "pii")
+        F.when(contains_any(low, ROUTE_PII_OVERRIDE), "pii")
         .when(risk > pii, "risk")
         .when(pii > 0, "pii")
         .otherwise("risk")
     )
 
 
+def route_text(text: Column) -> Column:
+    """C1. ``risk`` or ``pii``."""
+    low = F.lower(text)
+    return route_by_scores(low, *route_scores(low))
+
+
 def choose_type(text: Column, force_type: str | None = None, task_type: str | None = None) -> Column:
     """C9. A forced type wins; a single-task set-up always gives its task; otherwise C1."""
     if force_type is not None:
@@ -111,7 +115,11 @@ def choose_type(text: Column, force_type: str | None = None, task_type: str | No
 
 def pc_from_keywords(text: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """C2. Highest category with a keyword hit; PC0 when there is none."""
-    low = F.lower(text)
+    return pc_of_lowered(F.lower(text), taxonomy)
+
+
+def pc_of_lowered(low: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
+    """C2 for lower-cased text."""
     return (
         F.when(contains_any(low, taxonomy.pii_keywords["PC3"]), "PC3")
         .when(contains_any(low, taxonomy.pii_keywords["PC1"]), "PC1")
@@ -135,23 +143,28 @@ def normalise_pii_types(types: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     contains that is not in the output yet, so the step is a fold that carries
     its output.
     """
-    known = str_array(taxonomy.pii_types)
+    known = _type_names(taxonomy)
+    names = str_array(taxonomy.pii_types)
 
     def step(kept: Column, item: Column) -> Column:
-        name = btrim_u(item)
-        low = F.lower(name)
-        contained = F.filter(known, lambda k: F.contains(low, F.lower(k)) & ~F.array_contains(kept, k))
-        addition = F.when(F.array_contains(known, name), F.array(name)).otherwise(F.slice(contained, 1, 1))
-        return F.array_union(kept, addition)
+        contained = F.filter(
+            known, lambda k: F.contains(item["low"], k["low"]) & ~F.array_contains(kept, k["name"])
+        )
+        first = F.transform(F.slice(contained, 1, 1), lambda k: k["name"])
+        return F.array_union(kept, F.when(F.array_contains(names, item["name"]), F.array(item["name"])).otherwise(first))
 
-    clean = F.filter(types, lambda t: t.isNotNull())
-    return F.aggregate(clean, str_array([]), step)
+    trimmed = F.transform(F.filter(types, lambda t: t.isNotNull()), btrim_u)
+    items = F.transform(trimmed, lambda t: F.struct(t.alias("name"), F.lower(t).alias("low")))
+    return F.aggregate(items, str_array([]), step)
 
 
-def taxonomy_name_hits(text: Column, taxonomy: Taxonomy = DEFAULT) -> dict[str, Column]:
-    """C5a. type -> its name occurs in the text."""
-    low = F.lower(text)
-    return {t: F.contains(low, F.lit(t.lower())) for t in taxonomy.pii_types}
+def _type_names(taxonomy: Taxonomy) -> Column:
+    return literal([{"low": t.lower(), "name": t} for t in taxonomy.pii_types], "array<struct<low:string,name:string>>")
+
+
+def named_types(low: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
+    """C5a. array<string> of the types whose name occurs in lower-cased text."""
+    return F.transform(F.filter(_type_names(taxonomy), lambda n: F.contains(low, n["low"])), lambda n: n["name"])
 
 
 def pattern_hits(text: Column) -> dict[str, Column]:
@@ -169,40 +182,32 @@ def pattern_values(text: Column, pii_type: str) -> Column:
     return F.regexp_extract_all(text, F.lit(VALUE_PATTERNS[pii_type]), 0)
 
 
-def _mask(hits: dict[str, Column], order: list[str]) -> Column:
-    return reduce(add, [F.when(hit, F.lit(1 << order.index(t))).otherwise(F.lit(0)) for t, hit in hits.items()])
-
-
-def scan_masks(text: Column, taxonomy: Taxonomy = DEFAULT) -> tuple[Column, Column]:
-    """C5a and C5b as two bit sets over the taxonomy types: (named in the text, matched by value)."""
-    order = taxonomy.pii_types
-    named = _mask(taxonomy_name_hits(text, taxonomy), order)
-    matched = _mask({t: h for t, h in pattern_hits(text).items() if t in order}, order)
-    return F.when(text.isNotNull(), named), F.when(text.isNotNull(), matched)
+def matched_types(text: Column) -> Column:
+    """C5b. array<string> of the types a value of which occurs in the text."""
+    return pick(pattern_hits(text))
 
 
 def scan_result(named: Column, matched: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
-    """C5c. struct<pc_category, pii_types, confidence> from the two bit sets.
+    """C5c. struct<pc_category, pii_types, confidence> from the two lists.
 
     A taxonomy name is worth 0.2 and a value pattern 0.3, even when both point
     at the same type; sums run in integer tenths so that no rounding noise
     appears.  Types come in taxonomy order.
     """
-    found = named.bitwiseOR(matched)
-    high_bits = sum(1 << pos for pos, t in enumerate(taxonomy.pii_types) if t in SCAN_PC3)
-    high = found.bitwiseAND(F.lit(high_bits)) != 0
-    types = pick({t: found.bitwiseAND(F.lit(1 << pos)) != 0 for pos, t in enumerate(taxonomy.pii_types)})
-    tenths = F.bit_count(named) * 2 + F.bit_count(matched) * 3
-    pc = F.when(high, "PC3").when(found != 0, "PC1").otherwise("PC0")
-    total = F.when(high, F.least(F.lit(10), tenths + 4)).when(found != 0, F.least(F.lit(10), tenths + 2)).otherwise(1)
+    both = F.array_union(named, matched)
+    types = F.array_intersect(str_array(taxonomy.pii_types), both)
+    high = F.arrays_overlap(both, str_array(SCAN_PC3))
+    tenths = F.size(named) * 2 + F.size(matched) * 3
+    pc = F.when(high, "PC3").when(tenths > 0, "PC1").otherwise("PC0")
+    total = F.when(high, F.least(F.lit(10), tenths + 4)).when(tenths > 0, F.least(F.lit(10), tenths + 2)).otherwise(1)
     result = F.struct(pc.alias("pc_category"), types.alias("pii_types"), (total / 10).alias("confidence"))
-    return F.when(found.isNotNull(), result)
+    return F.when(both.isNotNull(), result)
 
 
 def scan_pii(text: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """C5 as one expression.  Over large tables prefer ``operators.texts.scan_texts``,
-    which binds the bit sets first so that no pattern is evaluated twice."""
-    return scan_result(*scan_masks(text, taxonomy), taxonomy)
+    which binds the lower-cased text and the hits so that nothing is evaluated twice."""
+    return scan_result(named_types(F.lower(text), taxonomy), matched_types(text), taxonomy)
 
 
 def pc_from_classification(classification: Column) -> Column:
@@ -217,22 +222,25 @@ def pc_from_classification(classification: Column) -> Column:
 
 def privacy_label(pc: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """C7. PC category -> label, null when unknown."""
-    return F.element_at(literal_map({k: F.lit(v) for k, v in taxonomy.privacy_labels.items()}), pc)
+    return F.element_at(literal(taxonomy.privacy_labels, "map<string,string>"), pc)
 
 
 def sensitivity_label(dp: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """C7. DP level -> label, null when unknown."""
-    return F.element_at(literal_map({k: F.lit(v) for k, v in taxonomy.sensitivity_labels.items()}), dp)
+    return F.element_at(literal(taxonomy.sensitivity_labels, "map<string,string>"), dp)
 
 
-def l2_keyword_hits(text: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
-    """C8. array<struct<l2_key, hits>>: phrases found per L2, only where there are any."""
-    low = F.lower(text)
-    per_key = [
-        F.struct(F.lit(key).alias("l2_key"), count_contained(low, phrases).alias("hits"))
-        for key, phrases in taxonomy.risk_keywords.items()
-    ]
-    return F.filter(F.array(*per_key), lambda s: s["hits"] > 0)
+def l2_keyword_hits(low: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
+    """C8. array<struct<l2_key, hits>>: phrases found in lower-cased text per L2, only where there are any."""
+    keys = literal(
+        [{"l2_key": key, "phrases": phrases} for key, phrases in taxonomy.risk_keywords.items()],
+        "array<struct<l2_key:string,phrases:array<string>>>",
+    )
+    counted = F.transform(
+        keys,
+        lambda k: F.struct(k["l2_key"], F.size(F.filter(k["phrases"], lambda p: F.contains(low, p))).alias("hits")),
+    )
+    return F.filter(counted, lambda k: k["hits"] > 0)
 
 
 def types_named_in(text: Column) -> Column:

@@ -13,8 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskscan.functions.classify import contains_any
-from riskscan.functions.text import BLANK, WORD, btrim_u, pick, split_words
-from riskscan.taxonomy import str_array
+from riskscan.functions.text import BLANK, WORD, bind, btrim_u, pick, split_words
+from riskscan.taxonomy import literal, str_array
 
 # --------------------------------------------------------------------------
 # They have to be exactly these for results to agree.
@@ -181,31 +181,28 @@ def column_lines(ddl: Column) -> Column:
     """
     body = F.regexp_extract(ddl, r"(?s)\((.*)\)", 1)
 
-    def depth_change(piece: Column) -> Column:
-        return F.length(F.replace(piece, F.lit(")"), F.lit(""))) - F.length(F.replace(piece, F.lit("("), F.lit("")))
+    def measured(piece: Column) -> Column:
+        opened, closed = (F.length(F.replace(piece, F.lit(p), F.lit(""))) for p in "()")
+        return F.struct(piece.alias("text"), (closed - opened).alias("change"))
 
-    start = F.struct(
-        F.lit(0).alias("depth"), F.lit(None).cast("string").alias("open"), str_array([]).alias("done")
-    )
+    start = F.struct(F.lit(0).alias("depth"), F.lit(None).cast("string").alias("open"), str_array([]).alias("done"))
 
     def glue(state: Column, piece: Column) -> Column:
-        line = F.coalesce(F.concat(state["open"], F.lit(","), piece), piece)
-        depth = state["depth"] + depth_change(piece)
-        closed = depth == 0
-        return F.struct(
-            depth.alias("depth"),
-            F.when(~closed, line).alias("open"),
-            F.when(closed, F.array_append(state["done"], line)).otherwise(state["done"]).alias("done"),
+        line = F.coalesce(F.concat(state["open"], F.lit(","), piece["text"]), piece["text"])
+        step = F.struct((state["depth"] + piece["change"]).alias("depth"), line.alias("line"))
+        return bind(
+            step,
+            lambda s: F.struct(
+                s["depth"].alias("depth"),
+                F.when(s["depth"] != 0, s["line"]).alias("open"),
+                F.when(s["depth"] == 0, F.array_append(state["done"], s["line"])).otherwise(state["done"]).alias("done"),
+            ),
         )
 
-    lines = F.aggregate(
-        F.split(body, ","),
-        start,
-        glue,
-        lambda state: F.when(state["open"].isNotNull(), F.array_append(state["done"], state["open"])).otherwise(
-            state["done"]
-        ),
-    )
+    def finish(state: Column) -> Column:
+        return F.when(state["open"].isNotNull(), F.array_append(state["done"], state["open"])).otherwise(state["done"])
+
+    lines = F.aggregate(F.transform(F.split(body, ","), measured), start, glue, finish)
     return F.filter(F.transform(lines, btrim_u), lambda line: line != "")
 
 
@@ -216,22 +213,22 @@ def parse_columns(lines: Column) -> Column:
     name merely starts with it), nor does a single word.
     """
 
+    def worded(line: Column) -> Column:
+        return F.struct(F.upper(line).alias("up"), split_words(line).alias("words"))
+
     def is_column(line: Column) -> Column:
-        up = F.upper(line)
-        keyword = F.lit(False)
-        for prefix in NON_COLUMN_PREFIXES:
-            keyword = keyword | F.startswith(up, F.lit(prefix))
-        return ~keyword & (F.size(split_words(line)) >= 2)
+        keyword = F.exists(str_array(NON_COLUMN_PREFIXES), lambda p: F.startswith(line["up"], p))
+        return (F.size(line["words"]) >= 2) & ~keyword
 
     def parts(line: Column) -> Column:
-        words = split_words(line)
+        words = line["words"]
         return F.struct(
             F.btrim(F.get(words, F.lit(0)), F.lit(QUOTES)).alias("column_name"),
             F.get(words, F.lit(1)).alias("data_type"),
             F.array_join(F.slice(words, F.lit(3), F.greatest(F.size(words) - 2, F.lit(0))), " ").alias("constraints"),
         )
 
-    return F.transform(F.filter(lines, is_column), parts)
+    return F.transform(F.filter(F.transform(lines, worded), is_column), parts)
 
 
 def columns_of(ddl: Column) -> Column:
@@ -244,16 +241,23 @@ def columns_of(ddl: Column) -> Column:
 # --------------------------------------------------------------------------
 
 
-def name_rule(column_name: Column) -> tuple[Column, Column]:
-    """D5. (pc_category, pii_type) of the first rule that hits; null without one."""
-    low = F.lower(column_name)
-    pc = pii_type = None
-    for category, rules in NAME_RULES.items():
-        for kind, parts in rules.items():
-            hit = contains_any(low, parts)
-            pc = F.when(hit, category) if pc is None else pc.when(hit, category)
-            pii_type = F.when(hit, kind) if pii_type is None else pii_type.when(hit, kind)
-    return pc, pii_type
+# The rules below run as lambdas over small literal tables rather than as long
+# chains of conditions: some 150 tests per column in one compiled method would
+# exceed what the JVM is willing to compile.
+
+
+def name_rule(low: Column) -> Column:
+    """D5. struct<pc, kind> of the first rule that hits a lower-case column name; null without one."""
+    rules = literal(
+        [
+            {"pc": pc, "kind": kind, "parts": parts}
+            for pc, kinds in NAME_RULES.items()
+            for kind, parts in kinds.items()
+        ],
+        "array<struct<pc:string,kind:string,parts:array<string>>>",
+    )
+    hits = F.filter(rules, lambda r: F.exists(r["parts"], lambda p: F.contains(low, p)))
+    return F.get(hits, F.lit(0))
 
 
 def type_hints(data_type: Column) -> Column:
@@ -262,77 +266,90 @@ def type_hints(data_type: Column) -> Column:
     return pick({kind: contains_any(up, parts) for kind, parts in TYPE_HINTS.items()})
 
 
-def _first_ambiguous(column_name: Column) -> Column:
-    low = F.lower(column_name)
-    return F.coalesce(*[F.when(contains_any(low, a.examples), F.lit(g)) for g, a in AMBIGUOUS.items()])
+def _ambiguous_groups() -> Column:
+    return literal(
+        [
+            {"pos": pos, "group": group, "possibility": a.possibility, "first": a.examples[0], "examples": a.examples}
+            for pos, (group, a) in enumerate(AMBIGUOUS.items())
+        ],
+        "array<struct<pos:int,group:string,possibility:string,first:string,examples:array<string>>>",
+    )
 
 
-def ambiguity(column_name: Column) -> Column:
-    """D7. The ambiguous group of a name, or null.
+def ambiguity_steps(low: Column) -> Column:
+    """D7. The groups assigned to a lower-case name one after the other: the first group
+    with any example in it, then every later group whose first example is in it."""
 
-    The first group with any example counts; after that a later group takes
-    over when its first example occurs, so the last of those stands.
-    """
-    low = F.lower(column_name)
-    groups = list(AMBIGUOUS)
-    takeovers = []
-    for pos in range(len(groups) - 1, 0, -1):
-        earlier = [e for g in groups[:pos] for e in AMBIGUOUS[g].examples]
-        takes = F.contains(low, F.lit(AMBIGUOUS[groups[pos]].examples[0])) & contains_any(low, earlier)
-        takeovers.append(F.when(takes, F.lit(groups[pos])))
-    return F.coalesce(*takeovers, _first_ambiguous(column_name))
+    def any_example(g: Column) -> Column:
+        return F.exists(g["examples"], lambda e: F.contains(low, e))
+
+    groups = _ambiguous_groups()
+    start = F.array_min(F.transform(F.filter(groups, any_example), lambda g: g["pos"]))
+    return bind(
+        start,
+        lambda at: F.filter(groups, lambda g: (g["pos"] == at) | ((g["pos"] > at) & F.contains(low, g["first"]))),
+    )
+
+
+def ambiguity(low: Column) -> Column:
+    """D7. The group that stands in the end, or null."""
+    return F.try_element_at(ambiguity_steps(low), F.lit(-1))["group"]
 
 
 def ambiguity_text(group: Column, field: str) -> Column:
     """The fixed explanation (``possibility`` or ``clues``) of an ambiguous group."""
-    return F.coalesce(*[F.when(group == g, F.lit(getattr(a, field))) for g, a in AMBIGUOUS.items()])
+    return F.element_at(literal({g: getattr(a, field) for g, a in AMBIGUOUS.items()}, "map<string,string>"), group)
 
 
-def reasoning(column_name: Column, data_type: Column) -> Column:
-    """D8. One line per accepted name rule, per data-type hint and per ambiguity step."""
-    low, up = F.lower(column_name), F.upper(data_type)
-    _, kind = name_rule(column_name)
+def reasoning(column_name: Column, data_type: Column, kind: Column) -> Column:
+    """D8. One line per accepted name rule (``kind``, null without one), per data-type
+    hint and per ambiguity step."""
     named = F.concat(F.lit("Column name '"), column_name, F.lit("' matches "), kind, F.lit(" pattern"))
-    hints = [
-        F.when(F.contains(up, F.lit(part)), F.concat(F.lit("Data type '"), data_type, F.lit(f"' suggests {hint}")))
-        for hint, parts in TYPE_HINTS.items()
-        for part in parts
-    ]
-    first = _first_ambiguous(column_name)
-    order = list(AMBIGUOUS)
-    steps = []
-    for pos, (group, a) in enumerate(AMBIGUOUS.items()):
-        earlier = F.coalesce(first.isin(order[:pos]), F.lit(False)) if pos else F.lit(False)
-        hit = (first == group) | (earlier & F.contains(low, F.lit(a.examples[0])))
-        steps.append(
-            F.when(hit, F.concat(F.lit("Column name '"), column_name, F.lit(f"' is ambiguous - {a.possibility}")))
-        )
-    return F.when(kind.isNotNull(), F.array(named)).otherwise(F.array_compact(F.array(*hints, *steps)))
+    parts = literal(
+        [{"hint": hint, "part": part} for hint, hint_parts in TYPE_HINTS.items() for part in hint_parts],
+        "array<struct<hint:string,part:string>>",
+    )
+    hints = F.transform(
+        bind(F.upper(data_type), lambda up: F.filter(parts, lambda p: F.contains(up, p["part"]))),
+        lambda p: F.concat(F.lit("Data type '"), data_type, F.lit("' suggests "), p["hint"]),
+    )
+    steps = F.transform(
+        bind(F.lower(column_name), ambiguity_steps),
+        lambda g: F.concat(F.lit("Column name '"), column_name, F.lit("' is ambiguous - "), g["possibility"]),
+    )
+    return F.when(kind.isNotNull(), F.array(named)).otherwise(F.concat(hints, steps))
+
+
+def column_rules(column_name: Column) -> Column:
+    """D5 and D7 for one column: struct<rule, group>; a name rule leaves no ambiguity."""
+    return bind(
+        F.lower(column_name), lambda low: F.struct(name_rule(low).alias("rule"), ambiguity(low).alias("group"))
+    )
 
 
-def classify_column(column_name: Column, data_type: Column) -> Column:
-    """D5-D7 for one column: struct<pii_types, pc_category, confidence_score, is_ambiguous, ambiguous_type>.
+def classify_column(rules: Column, data_type: Column) -> dict[str, Column]:
+    """D5-D7 for one column from its bound ``column_rules``.
 
     A name rule settles the matter (0.9).  Without one an ambiguous name gives
     category AMBIGUOUS (0.5), and else data-type hints are listed under PC0 (0).
     """
-    pc, kind = name_rule(column_name)
-    group = F.when(kind.isNull(), ambiguity(column_name))
+    kind, pc = rules["rule"]["kind"], rules["rule"]["pc"]
+    group = F.when(kind.isNull(), rules["group"])
     types = (
         F.when(kind.isNotNull(), F.array(kind))
         .when(group.isNotNull(), F.array(F.concat(F.lit("Ambiguous_"), group)))
         .otherwise(type_hints(data_type))
     )
-    return F.struct(
-        types.alias("pii_types"),
-        F.coalesce(pc, F.when(group.isNotNull(), "AMBIGUOUS"), F.lit("PC0")).alias("pc_category"),
-        F.when(kind.isNotNull(), NAME_CONFIDENCE)
-        .when(group.isNotNull(), AMBIGUOUS_CONFIDENCE)
-        .otherwise(0.0)
-        .alias("confidence_score"),
-        group.isNotNull().alias("is_ambiguous"),
-        group.alias("ambiguous_type"),
-    )
+    score = F.when(kind.isNotNull(), NAME_CONFIDENCE).when(group.isNotNull(), AMBIGUOUS_CONFIDENCE).otherwise(0.0)
+    return {
+        "pii_types": types,
+        "pc_category": F.coalesce(pc, F.when(group.isNotNull(), "AMBIGUOUS"), F.lit("PC0")),
+        "confidence_score": score,
+        "is_ambiguous": group.isNotNull(),
+        "ambiguous_type": group,
+        "pii_possibility": ambiguity_text(group, "possibility"),
+        "context_clues": ambiguity_text(group, "clues"),
+    }
 
 
 # --------------------------------------------------------------------------
@@ -347,7 +364,7 @@ def overall_class(has_pc3: Column, has_pc1: Column, needs_review: Column) -> Col
 
 def recommendations(overall: Column, has_type: dict[str, Column]) -> Column:
     """D11. The lines of the overall class, then those of the detected types."""
-    base = F.coalesce(*[F.when(overall == c, str_array(lines)) for c, lines in RECOMMENDATIONS.items()])
+    base = F.element_at(literal(RECOMMENDATIONS, "map<string,array<string>>"), overall)
     return F.concat(base, pick({line: has_type[kind] for kind, line in TYPE_RECOMMENDATIONS.items()}))
 
 

@@ -8,13 +8,12 @@ leave open goes to the fuzzy scorer.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskscan.functions import similarity as sim
-from riskscan.functions.text import BLANK, WORD, btrim_u, format_label, label_key, split_words
-from riskscan.taxonomy import DEFAULT, Taxonomy, literal_map, str_array
+from riskscan.functions.text import BLANK, WORD, bind, btrim_u, label_key, split_words
+from riskscan.taxonomy import DEFAULT, Taxonomy, literal, str_array
 
 # Order in which a findings file may separate several risks in one cell (F6); fixed values.
 RISK_DELIMITERS = [",", ";", "\n", "|", "/", "\\", "+", "&", "and"]
@@ -55,27 +54,14 @@ def match_risk_text(text: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     The best L2 name (weighted, at least 75), then every macro risk of that L2
     (token set, at least 65) in taxonomy order.  Without an L2: null, [], 0.
     """
-    keys, labels = list(taxonomy.l2), taxonomy.l2_labels
-    l2_hits = sim._memo_map(sim._top_hits(list(taxonomy.l2.values()), sim.weighted, L2_TEXT_CUTOFF, 1))
-    risk_hits = {
-        key: sim._top_hits(risks, sim.token_set, RISK_TEXT_CUTOFF, None) for key, risks in taxonomy.macro_risks.items()
-    }
-    risks_by_key = taxonomy.macro_risks
-
-    @F.pandas_udf("l2_category string, macro_risks array<string>, score double")
-    def match(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value in texts:
-            best = l2_hits(value) if value is not None else []
-            if not best:
-                rows.append((None, [], 0.0))
-                continue
-            (pos, score), key = best[0], keys[best[0][0]]
-            found = sorted(o for o, _ in risk_hits[key](value)) if key in risk_hits else []
-            rows.append((labels[pos], [risks_by_key[key][o] for o in found], score / 100.0))
-        return pd.DataFrame(rows, columns=["l2_category", "macro_risks", "score"])
-
-    return match(within_reach(text, list(taxonomy.l2.values())))
+    names = list(taxonomy.l2.values())
+    risks = [taxonomy.macro_risks.get(key, []) for key in taxonomy.l2]
+    hit = sim.nested_hits(within_reach(text, names), names, risks, L2_TEXT_CUTOFF, RISK_TEXT_CUTOFF)
+    return F.struct(
+        F.get(str_array(taxonomy.l2_labels), hit["ord"]).alias("l2_category"),
+        hit["children"].alias("macro_risks"),
+        (hit["score"] / 100).alias("score"),
+    )
 
 
 # --------------------------------------------------------------------------
@@ -87,18 +73,19 @@ def _bare(text: str) -> str:
     return "".join(ch for ch in text if ch.isalnum() or ch == "_" or ch.isspace())
 
 
-def _l2_variants(taxonomy: Taxonomy) -> dict[str, Column]:
-    variants: dict[str, Column] = {}
+def _l2_variants(taxonomy: Taxonomy) -> Column:
+    """Literal map: key, name and "key. name", each as written and without punctuation -> label."""
+    variants: dict[str, str] = {}
     for key, name in taxonomy.l2.items():
         for form in (key, name, f"{key}. {name}"):
             for variant in (form.lower(), _bare(form.lower())):
-                variants.setdefault(variant, F.lit(f"{key}. {name}"))
-    return variants
+                variants.setdefault(variant, f"{key}. {name}")
+    return literal(variants, "map<string,string>")
 
 
 def normalise_l2_exact(label: Column, taxonomy: Taxonomy = DEFAULT) -> tuple[Column, Column, Column]:
     """F5, the exact tiers: (as written, without punctuation, first known word in text order)."""
-    known = literal_map(_l2_variants(taxonomy))
+    known = _l2_variants(taxonomy)
     low = F.lower(btrim_u(label))
     bare = F.regexp_replace(low, f"(?U)[^{WORD}{BLANK}]", "")
     by_word = F.filter(F.transform(split_words(bare), lambda w: F.element_at(known, w)), lambda hit: hit.isNotNull())
@@ -128,7 +115,7 @@ def normalise_l2(label: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
 
 
 def _exact_risk(item: Column, taxonomy: Taxonomy) -> Column:
-    return F.element_at(literal_map({r.lower(): F.lit(r) for r in reversed(taxonomy.all_risks)}), F.lower(item))
+    return F.element_at(literal({r.lower(): r for r in reversed(taxonomy.all_risks)}, "map<string,string>"), F.lower(item))
 
 
 def split_risks(cell: Column, taxonomy: Taxonomy = DEFAULT, whole_first: bool = True) -> Column:
@@ -156,15 +143,15 @@ def normalise_risks(items: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """
     filled = F.filter(items, lambda i: i.isNotNull() & (i != ""))
     exact = F.transform(filled, lambda i: _exact_risk(i, taxonomy))
-    left = F.filter(filled, lambda i: _exact_risk(i, taxonomy).isNull())
+    left = F.array_distinct(F.filter(filled, lambda i: _exact_risk(i, taxonomy).isNull()))
     fuzzy = sim.best_names_of_each(
-        F.when(F.size(left) > 0, F.array_distinct(left)), taxonomy.all_risks, sim.weighted, RISK_LABEL_CUTOFF, 2
+        F.when(F.size(left) > 0, left), taxonomy.all_risks, sim.weighted, RISK_LABEL_CUTOFF, 2
     )
     return _in_order(F.array_union(F.coalesce(exact, str_array([])), fuzzy), taxonomy.all_risks)
 
 
 def _in_order(values: Column, order: list[str]) -> Column:
-    return F.filter(str_array(order), lambda v: F.coalesce(F.array_contains(values, v), F.lit(False)))
+    return F.array_intersect(str_array(order), values)
 
 
 # --------------------------------------------------------------------------
@@ -175,45 +162,50 @@ def _in_order(values: Column, order: list[str]) -> Column:
 def _risk_words(taxonomy: Taxonomy) -> Column:
     """Literal map L2 key -> array<struct<risk, words, long_words>>, all lower case."""
 
-    def entry(risk: str) -> Column:
+    def entry(risk: str) -> dict:
         words = list(dict.fromkeys(risk.lower().split()))
-        return F.struct(
-            F.lit(risk).alias("risk"),
-            str_array(words).alias("words"),
-            str_array([w for w in words if len(w) > 4]).alias("long_words"),
-        )
+        return {"risk": risk, "words": words, "long_words": [w for w in words if len(w) > 4]}
 
-    return literal_map({key: F.array(*[entry(r) for r in risks]) for key, risks in taxonomy.macro_risks.items()})
+    return literal(
+        {key: [entry(r) for r in risks] for key, risks in taxonomy.macro_risks.items()},
+        "map<string,array<struct<risk:string,words:array<string>,long_words:array<string>>>>",
+    )
 
 
 def infer_risks(context: Column, l2_key: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """F8. Risks of the L2 whose words occur in the context: two whole words (one
     for a one-word risk), or any word longer than four letters as a substring."""
-    low = F.lower(context)
-    words = split_words(low)
     candidates = F.element_at(_risk_words(taxonomy), l2_key)
 
-    def fits(risk: Column) -> Column:
-        shared = F.size(F.array_intersect(risk["words"], words))
+    def fits(risk: Column, seen: Column) -> Column:
+        shared = F.size(F.array_intersect(risk["words"], seen["words"]))
         return (shared >= F.least(F.lit(2), F.size(risk["words"]))) | F.exists(
-            risk["long_words"], lambda w: F.contains(low, w)
+            risk["long_words"], lambda w: F.contains(seen["low"], w)
         )
 
-    hits = F.transform(F.filter(candidates, fits), lambda r: r["risk"])
-    return F.coalesce(hits, str_array([]))
+    def hits(seen: Column) -> Column:
+        return F.transform(F.filter(candidates, lambda r: fits(r, seen)), lambda r: r["risk"])
+
+    found = bind(_word_view(F.lower(context)), hits)
+    return F.when(l2_key.isNotNull(), F.coalesce(found, str_array([]))).otherwise(str_array([]))
+
+
+def _word_view(low: Column) -> Column:
+    """struct<low, words> of lower-cased text."""
+    return bind(low, lambda t: F.struct(t.alias("low"), F.array_distinct(split_words(t)).alias("words")))
 
 
 def infer_l2(risks: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """F9. The L2 most of the risks belong to, the first one on a tie; null for none."""
-    votes = F.array(
-        *[
-            F.struct(
-                F.size(F.array_intersect(risks, str_array(names))).alias("n"),
-                F.lit(-pos).alias("rank"),
-                F.lit(f"{key}. {taxonomy.l2[key]}").alias("label"),
-            )
+    candidates = literal(
+        [
+            {"rank": -pos, "label": f"{key}. {taxonomy.l2[key]}", "risks": names}
             for pos, (key, names) in enumerate(taxonomy.macro_risks.items())
-        ]
+        ],
+        "array<struct<rank:int,label:string,risks:array<string>>>",
+    )
+    votes = F.transform(
+        candidates, lambda c: F.struct(F.size(F.array_intersect(risks, c["risks"])).alias("n"), c["rank"], c["label"])
     )
     best = F.array_max(votes)
     return F.when(best["n"] > 0, best["label"])
@@ -225,19 +217,15 @@ def infer_l2(risks: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
 
 
 def _word_sets(taxonomy: Taxonomy) -> Column:
-    """Literal map L2 key -> array<struct<pos, risk, low, words>>."""
+    """Literal map L2 key -> array<struct<rank, risk, low, words>>; rank falls in taxonomy order."""
 
-    def entry(pos: int, risk: str) -> Column:
+    def entry(pos: int, risk: str) -> dict:
         low = risk.lower().strip()
-        return F.struct(
-            F.lit(-pos).alias("rank"),
-            F.lit(risk).alias("risk"),
-            F.lit(low).alias("low"),
-            str_array(list(dict.fromkeys(low.split()))).alias("words"),
-        )
+        return {"rank": -pos, "risk": risk, "low": low, "words": list(dict.fromkeys(low.split()))}
 
-    return literal_map(
-        {key: F.array(*[entry(p, r) for p, r in enumerate(risks)]) for key, risks in taxonomy.macro_risks.items()}
+    return literal(
+        {key: [entry(p, r) for p, r in enumerate(risks)] for key, risks in taxonomy.macro_risks.items()},
+        "map<string,array<struct<rank:int,risk:string,low:string,words:array<string>>>>",
     )
 
 
@@ -251,60 +239,51 @@ def filter_risks_by_l2(l2_category: Column, risks: Column, taxonomy: Taxonomy =
     """
     valid = F.element_at(_word_sets(taxonomy), label_key(l2_category))
 
-    def best(item: Column) -> Column:
-        low = btrim_u(F.lower(item))
-        words = F.array_distinct(split_words(low))
-
-        def score(v: Column) -> Column:
-            shared = F.size(F.array_intersect(words, v["words"]))
-            fewer = F.least(F.size(words), F.size(v["words"]))
-            more = F.greatest(F.size(words), F.size(v["words"]))
-            overlap, coverage = shared / fewer, shared / more
-            by_words = F.when(
-                (fewer > 0) & (overlap >= 0.7) & (coverage >= 0.5), F.floor(overlap * coverage * 60).cast("int")
-            ).otherwise(0)
-            inside = F.contains(v["low"], low) | F.contains(low, v["low"])
-            long_enough = (F.length(low) > 3) & (F.length(v["low"]) > 3)
-            return F.when(low == v["low"], 100).when(inside & long_enough, 80).otherwise(by_words)
+    def score(item: Column, v: Column) -> Column:
+        shared = F.size(F.array_intersect(item["words"], v["words"]))
+        fewer = F.least(F.size(item["words"]), F.size(v["words"]))
+        more = F.greatest(F.size(item["words"]), F.size(v["words"]))
+        overlap, coverage = shared / fewer, shared / more
+        by_words = F.when(
+            (fewer > 0) & (overlap >= 0.7) & (coverage >= 0.5), F.floor(overlap * coverage * 60).cast("int")
+        ).otherwise(0)
+        inside = F.contains(v["low"], item["low"]) | F.contains(item["low"], v["low"])
+        long_enough = (F.length(item["low"]) > 3) & (F.length(v["low"]) > 3)
+        return F.when(item["low"] == v["low"], 100).when(inside & long_enough, 80).otherwise(by_words)
 
+    def best(item: Column) -> Column:
         scored = F.transform(
-            valid, lambda v: F.struct(score(v).alias("score"), v["rank"].alias("rank"), v["risk"].alias("risk"))
+            valid, lambda v: F.struct(score(item, v).alias("score"), v["rank"].alias("rank"), v["risk"].alias("risk"))
         )
-        top = F.array_max(scored)
-        return F.when(top["score"] >= 50, top["risk"])
+        return bind(F.array_max(scored), lambda top: F.when(top["score"] >= 50, top["risk"]))
 
-    matched = F.array_distinct(F.transform(risks, best))
-    ordered = F.transform(
-        F.filter(valid, lambda v: F.coalesce(F.array_contains(matched, v["risk"]), F.lit(False))), lambda v: v["risk"]
-    )
+    matched = F.transform(_items_view(risks), best)
+    ordered = F.array_intersect(F.transform(valid, lambda v: v["risk"]), matched)
     unfiltered = l2_category.isNull() | (l2_category == "") | risks.isNull() | (F.size(risks) == 0)
     return F.when(unfiltered, risks).otherwise(F.coalesce(ordered, str_array([])))
 
 
+def _items_view(items: Column) -> Column:
+    """array<struct<low, words>> of a list of labels."""
+    return F.transform(
+        F.transform(items, lambda i: btrim_u(F.lower(i))),
+        lambda t: F.struct(t.alias("low"), F.array_distinct(split_words(t)).alias("words")),
+    )
+
+
 def filter_risks_loose(l2_key: Column, risks: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """F12. The text-fallback rule: each risk takes the first risk of the L2 that is
     equal, contained either way (any length), or shares at least 60 % of the
     smaller word set.  Taxonomy order; null for an unknown key."""
     valid = F.element_at(_word_sets(taxonomy), l2_key)
 
-    def first(item: Column) -> Column:
-        low = btrim_u(F.lower(item))
-        words = F.array_distinct(split_words(low))
-
-        def fits(v: Column) -> Column:
-            shared = F.size(F.array_intersect(words, v["words"]))
-            needed = F.greatest(F.lit(1.0), F.least(F.size(words), F.size(v["words"])) * 0.6)
-            return F.contains(v["low"], low) | F.contains(low, v["low"]) | ((F.size(words) > 0) & (shared >= needed))
-
-        return F.get(F.filter(valid, fits), F.lit(0))["risk"]
-
-    matched = F.transform(risks, first)
-    return F.transform(
-        F.filter(valid, lambda v: F.coalesce(F.array_contains(matched, v["risk"]), F.lit(False))), lambda v: v["risk"]
-    )
+    def fits(item: Column, v: Column) -> Column:
+        shared = F.size(F.array_intersect(item["words"], v["words"]))
+        needed = F.greatest(F.lit(1.0), F.least(F.size(item["words"]), F.size(v["words"])) * 0.6)
+        inside = F.contains(v["low"], item["low"]) | F.contains(item["low"], v["low"])
+        return inside | ((F.size(item["words"]) > 0) & (shared >= needed))
 
+    def first(item: Column) -> Column:
+        return F.get(F.filter(valid, lambda v: fits(item, v)), F.lit(0))["risk"]
 
-__all__ = [
-    "best_matches", "filter_risks_by_l2", "filter_risks_loose", "format_label", "infer_l2", "infer_risks",
-    "match_risk_text", "normalise_l2", "normalise_l2_exact", "normalise_risks", "split_risks",
-]
+    return F.array_intersect(F.transform(valid, lambda v: v["risk"]), F.transform(_items_view(risks), first))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskscan.functions.classify import normalise_pii_types, pc_from_keywords, types_named_in
 from riskscan.functions.matching import filter_risks_loose
-from riskscan.functions.text import btrim_u, label_key
+from riskscan.functions.text import bind, btrim_u, label_key
 from riskscan.taxonomy import DEFAULT, Taxonomy, str_array
 
 # --------------------------------------------------------------------------
@@ -96,9 +96,11 @@ def pc_in_text(response: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
 
 def types_in_text(response: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """R5, the types: captured pieces, then types named by usual words, onto the taxonomy."""
-    items = _listed_items(response, TYPE_PATTERNS, 3)
-    named = F.array_except(types_named_in(response), items)
-    return normalise_pii_types(F.concat(items, named), taxonomy)
+    named = types_named_in(response)
+    items = bind(
+        _listed_items(response, TYPE_PATTERNS, 3), lambda found: F.concat(found, F.array_except(named, found))
+    )
+    return normalise_pii_types(items, taxonomy)
 
 
 # --------------------------------------------------------------------------

@@ -11,10 +11,12 @@ shuffle, so one label that fills a third of the table costs nothing extra.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -128,26 +130,18 @@ def similarity(a: str | None, b: str | None, cutoff: float = 65.0) -> float:
 # Columns
 # --------------------------------------------------------------------------
 
+# Workers get this module inside the function, so they need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _memo_map(fn: Callable, size: int = MEMO_SIZE) -> Callable:
-    return lru_cache(maxsize=size)(fn)
 
+def _hits(names: Sequence[str], scorer: Callable, cutoff: float, k: int | None) -> Callable:
+    """value -> [(ord, score)] of the names at or above the cutoff, best first, ties in name order.
 
-def similarity_col(a: Column, b: Column, cutoff: float = 65.0) -> Column:
-    """F1 as a column; null counts as empty."""
-    pair_score = _memo_map(lambda x, y: similarity(x, y, cutoff))
-
-    @F.pandas_udf("double")
-    def score(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([pair_score(x or "", y or "") for x, y in zip(left, right)], dtype="float64")
-
-    return score(a, b)
-
-
-def _top_hits(names: Sequence[str], scorer: Callable, cutoff: float, k: int | None) -> Callable:
-    """value -> [(ord, score)] of the names at or above the cutoff, best first, ties in name order."""
+    Built once per task, with a bounded memo: a repeated label is scored once.
+    """
     normal = [normalise(n) for n in names]
 
+    @lru_cache(maxsize=MEMO_SIZE)
     def hits(value: str) -> list[tuple[int, float]]:
         query = normalise(value)
         scored = [(pos, scorer(query, name)) for pos, name in enumerate(normal)] if query else []
@@ -156,15 +150,28 @@ def _top_hits(names: Sequence[str], scorer: Callable, cutoff: float, k: int | No
     return hits
 
 
+def similarity_col(a: Column, b: Column, cutoff: float = 65.0) -> Column:
+    """F1 as a column; null counts as empty."""
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        pair_score = lru_cache(maxsize=MEMO_SIZE)(lambda x, y: similarity(x, y, cutoff))
+        for left, right in batches:
+            yield pd.Series([pair_score(x or "", y or "") for x, y in zip(left, right)], dtype="float64")
+
+    return score(a, b)
+
+
 def best_hits(value: Column, names: Sequence[str], scorer: Callable = weighted, cutoff: float = 65.0,
               k: int | None = 3) -> Column:
     """array<struct<ord, score>>: the best ``k`` names for each value (all with ``k=None``); null stays null."""
-    hits = _memo_map(_top_hits(names, scorer, cutoff, k))
 
     @F.pandas_udf("array<struct<ord:int,score:double>>")
-    def match(values: pd.Series) -> pd.Series:
-        return pd.Series([None if v is None else [{"ord": o, "score": s} for o, s in hits(v)] for v in values],
-                         dtype="object")
+    def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hits = _hits(names, scorer, cutoff, k)
+        for values in batches:
+            rows = [None if v is None else [{"ord": o, "score": s} for o, s in hits(v)] for v in values]
+            yield pd.Series(rows, dtype="object")
 
     return match(value)
 
@@ -172,13 +179,36 @@ def best_hits(value: Column, names: Sequence[str], scorer: Callable = weighted,
 def best_names_of_each(values: Column, names: Sequence[str], scorer: Callable = weighted, cutoff: float = 55.0,
                        k: int | None = 2) -> Column:
     """array<string>: the best ``k`` names of every element of an array, all together in name order."""
-    hits = _memo_map(_top_hits(names, scorer, cutoff, k))
 
     @F.pandas_udf("array<string>")
-    def match(arrays: pd.Series) -> pd.Series:
-        return pd.Series(
-            [[] if a is None else [names[o] for o in sorted({o for v in a for o, _ in hits(v)})] for a in arrays],
-            dtype="object",
-        )
+    def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hits = _hits(names, scorer, cutoff, k)
+        for arrays in batches:
+            found = [[] if a is None else sorted({o for v in a for o, _ in hits(v)}) for a in arrays]
+            yield pd.Series([[names[o] for o in ords] for ords in found], dtype="object")
 
     return match(values)
+
+
+def nested_hits(value: Column, names: Sequence[str], children: Sequence[Sequence[str]], cutoff: float,
+                child_cutoff: float) -> Column:
+    """struct<ord, score, children>: the best name (weighted) and every child of it whose
+    token-set score reaches ``child_cutoff``; (null, 0, []) without one."""
+
+    @F.pandas_udf("ord int, score double, children array<string>")
+    def match(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        best = _hits(names, weighted, cutoff, 1)
+        below = [_hits(child_names, token_set, child_cutoff, None) for child_names in children]
+        for values in batches:
+            rows = []
+            for v in values:
+                top = best(v) if v is not None else []
+                if not top:
+                    rows.append((None, 0.0, []))
+                    continue
+                ord_, score = top[0]
+                rows.append((ord_, score, [children[ord_][o] for o in sorted(o for o, _ in below[ord_](v))]))
+            frame = pd.DataFrame(rows, columns=["ord", "score", "children"])
+            yield frame.astype({"ord": "Int32"})
+
+    return match(value)

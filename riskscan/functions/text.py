@@ -8,6 +8,8 @@ marks, so the class is spelled out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +45,15 @@ def pick(flags: dict[str, Column]) -> Column:
     return F.array_remove(F.array(*named), "")
 
 
+def bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once.
+
+    Inside a lambda an outer expression would be evaluated again for every
+    element; as a lambda variable it is not.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def split_words(c: Column) -> Column:
     """White-space separated words, without empty ones."""
     return F.filter(F.split(c, rf"(?U)[{BLANK}]+"), lambda w: w != "")

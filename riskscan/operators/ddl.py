@@ -25,14 +25,12 @@ def classify_columns(df: DataFrame, column_name: str = "column_name", data_type:
     pii_possibility, context_clues and reasoning.
     """
     name, kind = F.col(column_name), F.col(data_type)
-    bound = df.withColumn("_c", rules.classify_column(name, kind))
-    group = F.col("_c.ambiguous_type")
+    bound = df.withColumn("_rules", rules.column_rules(name))
+    found = rules.classify_column(F.col("_rules"), kind)
     return bound.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        "_c.*",
-        rules.ambiguity_text(group, "possibility").alias("pii_possibility"),
-        rules.ambiguity_text(group, "clues").alias("context_clues"),
-        rules.reasoning(name, kind).alias("reasoning"),
+        *[value.alias(field) for field, value in found.items()],
+        rules.reasoning(name, kind, F.col("_rules.rule.kind")).alias("reasoning"),
     )
 
 
@@ -44,11 +42,13 @@ def analyze_ddl(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     compliance_flags.  A statement's columns stay in its row, so nothing is shuffled.
     """
     text = F.col(ddl)
-    columns = F.transform(rules.columns_of(text), _column_finding)
+    ruled = F.transform(rules.columns_of(text), lambda c: c.withField("rules", rules.column_rules(c["column_name"])))
     out = (
         df.withColumn("statement_type", rules.statement_type(text))
         .withColumn("table_name", rules.table_name(text))
-        .withColumn("columns", columns)
+        .withColumn("_ruled", ruled)
+        .withColumn("columns", F.transform("_ruled", _column_finding))
+        .drop("_ruled")
         .withColumn("pii_summary", _summary(F.col("columns")))
     )
     out = out.withColumn(
@@ -77,20 +77,14 @@ def analyze_ddl(df: DataFrame, ddl: str = "ddl") -> DataFrame:
 def _column_finding(c: Column) -> Column:
     """The eleven fields of one column finding."""
     name, kind = c["column_name"], c["data_type"]
-    found = rules.classify_column(name, kind)
-    group = found["ambiguous_type"]
+    found = rules.classify_column(c["rules"], kind)
+    lines = rules.reasoning(name, kind, c["rules"]["rule"]["kind"])
     return F.struct(
         name.alias("column_name"),
         kind.alias("data_type"),
         c["constraints"].alias("constraints"),
-        found["pii_types"].alias("pii_types"),
-        found["pc_category"].alias("pc_category"),
-        found["confidence_score"].alias("confidence_score"),
-        rules.reasoning(name, kind).alias("reasoning"),
-        found["is_ambiguous"].alias("is_ambiguous"),
-        group.alias("ambiguous_type"),
-        rules.ambiguity_text(group, "possibility").alias("pii_possibility"),
-        rules.ambiguity_text(group, "clues").alias("context_clues"),
+        *[value.alias(field) for field, value in found.items()],
+        lines.alias("reasoning"),
     )
 
 

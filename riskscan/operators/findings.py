@@ -205,13 +205,14 @@ def metadata_map(df: DataFrame, fixed: dict[str, Column], names: list[str]) -> C
     return F.map_filter(filled, lambda _, value: value.isNotNull())
 
 
-def label_findings(df: DataFrame, text_columns: list[str] | None = None, whole_first: bool = True,
-                   taxonomy: Taxonomy = DEFAULT) -> DataFrame:
+def label_findings(df: DataFrame, text_columns: list[str] | None = None, keep: list[str] | None = None,
+                   whole_first: bool = True, taxonomy: Taxonomy = DEFAULT) -> DataFrame:
     """P10, F5-F9, P12, P13 for a table that went through ``map_columns``.
 
-    Every input row comes back with context, l2_category, l2_tier, macro_risks,
-    metadata and reject_reasons (empty = kept).  All of it is row-wise; the two
-    fuzzy steps are the only ones that leave the JVM.
+    Every input row comes back with the ``keep`` columns, raw_l2, raw_risks,
+    context, l2_category, l2_tier, macro_risks, metadata and reject_reasons
+    (empty = kept).  All of it is row-wise; the two fuzzy steps are the only
+    ones that leave the JVM.
     """
     extra = [c for c in df.columns if c not in COLUMN_ALIASES]
     df = _with_missing(df)
@@ -245,7 +246,9 @@ def label_findings(df: DataFrame, text_columns: list[str] | None = None, whole_f
         .otherwise(str_array([]))
     )
     return step.select(
-        *[_col(c) for c in df.columns],
+        *[_col(c) for c in keep or []],
+        _col("L2").alias("raw_l2"),
+        _col("MACRO_RISKS").alias("raw_risks"),
         F.col("_context").alias("context"),
         F.coalesce(F.col("_label"), F.lit(tx.UNKNOWN)).alias("l2_category"),
         F.col("_l2.tier").alias("l2_tier"),

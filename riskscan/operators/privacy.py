@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskscan.functions import similarity as sim
 from riskscan.functions import text as tx
-from riskscan.functions.classify import pc_from_classification, scan_masks, scan_result
+from riskscan.functions.classify import matched_types, named_types, pc_from_classification, scan_result
 from riskscan.operators.findings import metadata_map
 from riskscan.taxonomy import DEFAULT, Taxonomy, str_array
 
@@ -70,10 +70,11 @@ def label_privacy(df: DataFrame, taxonomy: Taxonomy = DEFAULT) -> DataFrame:
         "_types", match_pii_types(kind, name, _maybe(df, "PRIVACYTYPEDESCRIPTION"), taxonomy)
     )
     unmatched = F.when(F.size("_types") == 0, F.col("text"))
-    named, matched = scan_masks(unmatched, taxonomy)
-    step = step.withColumn("_named", named).withColumn("_matched", matched)
+    step = step.withColumn("_unmatched", unmatched).withColumns(
+        {"_named": named_types(F.lower("_unmatched"), taxonomy), "_matched": matched_types(F.col("_unmatched"))}
+    )
     scanned = scan_result(F.col("_named"), F.col("_matched"), taxonomy)["pii_types"]
-    step = step.withColumn("pii_types", F.coalesce(scanned, F.col("_types")))
+    step = step.withColumn("pii_types", F.when(F.col("_unmatched").isNotNull(), scanned).otherwise(F.col("_types")))
     return step.select(
         *[F.col(f"`{c}`") for c in df.columns],
         "text",

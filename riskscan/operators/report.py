@@ -91,7 +91,7 @@ def empty_field_counts(df: DataFrame, title: str = "FINDING_TITLE", description:
     )
 
 
-def top_l2_values(labelled: DataFrame, column: str = "L2", unmatched_only: bool = False, k: int = TOP) -> DataFrame:
+def top_l2_values(labelled: DataFrame, column: str = "raw_l2", unmatched_only: bool = False, k: int = TOP) -> DataFrame:
     """A6. The most frequent raw L2 values (value, n)."""
     rows = labelled.where(F.col("l2_category") == tx.UNKNOWN) if unmatched_only else labelled
     value = tx.btrim_u(F.col(column).cast("string"))
@@ -99,7 +99,7 @@ def top_l2_values(labelled: DataFrame, column: str = "L2", unmatched_only: bool
                 "value", k)
 
 
-def top_risk_values(labelled: DataFrame, column: str = "MACRO_RISKS", unmatched_only: bool = False,
+def top_risk_values(labelled: DataFrame, column: str = "raw_risks", unmatched_only: bool = False,
                     k: int = TOP) -> DataFrame:
     """A6. The most frequent raw risk cells; the items of list cells count one by one."""
     rows = labelled.where(F.col("macro_risks") == F.array(F.lit(tx.UNSPECIFIED))) if unmatched_only else labelled

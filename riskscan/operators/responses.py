@@ -84,8 +84,7 @@ def _risk_stage(df: DataFrame, applies: Column, taxonomy: Taxonomy) -> DataFrame
     """Adds _r_state (ok / error / fallback), _r_l2 and _r_risks."""
     df, l2 = with_field(df, "_json", "l2_category")
     df, risks = with_field(df, "_json", "macro_risks")
-    known = F.element_at(F.create_map(*[c for k in taxonomy.macro_risks for c in (F.lit(k), F.lit(True))]),
-                         label_key(l2.string))
+    known = label_key(l2.string).isin(*[k for k, risks in taxonomy.macro_risks.items() if risks])
     scalar = risks.is_a("number", "bool")
     unusable = any_of(
         risks.is_a("null"),

@@ -352,10 +352,13 @@ def _route_oracle(source: str, key: str) -> str:
 
 
 def _route(df, key):
-    risk, pii = cl.route_scores(F.col("text"))
-    return df.select(
-        key, risk.cast("bigint").alias("risk_score"), pii.cast("bigint").alias("pii_score"),
-        cl.route_text(F.col("text")).alias("type"),
+    low = F.col("_low")
+    risk, pii = cl.route_scores(low)
+    scored = df.withColumn("_low", F.lower("text")).withColumns({"risk_score": risk, "pii_score": pii})
+    kind = cl.route_by_scores(low, F.col("risk_score"), F.col("pii_score"))
+    return scored.select(
+        key, F.col("risk_score").cast("bigint").alias("risk_score"),
+        F.col("pii_score").cast("bigint").alias("pii_score"), kind.alias("type"),
     )
 
 
@@ -450,8 +453,8 @@ def c5_pages(spark, sf):
     + "], lambda t: t IS NOT NULL), '|') AS named FROM documents",
 )
 def c5a(spark, sf):
-    named = F.array_join(tx.pick(cl.taxonomy_name_hits(F.col("text"))), "|")
-    return table(spark, sf, "documents").select("doc_id", named.alias("named"))
+    lowered = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("_low"))
+    return lowered.select("doc_id", F.array_join(cl.named_types(F.col("_low")), "|").alias("named"))
 
 
 @query(

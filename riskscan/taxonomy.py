@@ -8,6 +8,7 @@ it safe to ship them as literals or to broadcast them.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -189,7 +190,7 @@ class Taxonomy:
 
     def risks_of(self, l2_key: Column) -> Column:
         """array<string> of the risks of one L2 key; null for an unknown key."""
-        return F.element_at(literal_map({k: str_array(v) for k, v in self.macro_risks.items()}), l2_key)
+        return F.element_at(literal(self.macro_risks, "map<string,array<string>>"), l2_key)
 
     # ---- dimension tables (S10) -------------------------------------------
 
@@ -225,13 +226,12 @@ class Taxonomy:
 DEFAULT = Taxonomy()
 
 
-def str_array(values: list[str]) -> Column:
-    """Literal array<string>, also for an empty list."""
-    if not values:
-        return F.array().cast("array<string>")
-    return F.array(*[F.lit(v) for v in values])
+def literal(value, ddl_type: str) -> Column:
+    """A nested constant as one expression; the optimizer folds it into a literal, so
+    plans stay small and nothing is parsed per row."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl_type)
 
 
-def literal_map(entries: dict[str, Column]) -> Column:
-    """Literal map; folded to one constant by the optimizer."""
-    return F.create_map(*[c for key, value in entries.items() for c in (F.lit(key), value)])
+def str_array(values: list[str]) -> Column:
+    """Literal array<string>."""
+    return literal(list(values), "array<string>")
