@@ -134,6 +134,11 @@ def similarity(a: str | None, b: str | None, cutoff: float = 65.0) -> float:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _once(udf: Callable) -> Callable:
+    """Keeps the optimizer from copying the call into a filter below it and so scoring every row twice."""
+    return udf.asNondeterministic()
+
+
 def _hits(names: Sequence[str], scorer: Callable, cutoff: float, k: int | None) -> Callable:
     """value -> [(ord, score)] of the names at or above the cutoff, best first, ties in name order.
 
@@ -159,7 +164,7 @@ def similarity_col(a: Column, b: Column, cutoff: float = 65.0) -> Column:
         for left, right in batches:
             yield pd.Series([pair_score(x or "", y or "") for x, y in zip(left, right)], dtype="float64")
 
-    return score(a, b)
+    return _once(score)(a, b)
 
 
 def best_hits(value: Column, names: Sequence[str], scorer: Callable = weighted, cutoff: float = 65.0,
@@ -173,7 +178,7 @@ def best_hits(value: Column, names: Sequence[str], scorer: Callable = weighted,
             rows = [None if v is None else [{"ord": o, "score": s} for o, s in hits(v)] for v in values]
             yield pd.Series(rows, dtype="object")
 
-    return match(value)
+    return _once(match)(value)
 
 
 def best_names_of_each(values: Column, names: Sequence[str], scorer: Callable = weighted, cutoff: float = 55.0,
@@ -187,7 +192,7 @@ def best_names_of_each(values: Column, names: Sequence[str], scorer: Callable =
             found = [[] if a is None else sorted({o for v in a for o, _ in hits(v)}) for a in arrays]
             yield pd.Series([[names[o] for o in ords] for ords in found], dtype="object")
 
-    return match(values)
+    return _once(match)(values)
 
 
 def nested_hits(value: Column, names: Sequence[str], children: Sequence[Sequence[str]], cutoff: float,
@@ -211,4 +216,4 @@ def nested_hits(value: Column, names: Sequence[str], children: Sequence[Sequence
             frame = pd.DataFrame(rows, columns=["ord", "score", "children"])
             yield frame.astype({"ord": "Int32"})
 
-    return match(value)
+    return _once(match)(value)

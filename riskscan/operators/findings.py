@@ -102,19 +102,35 @@ def field_hits(df: DataFrame) -> dict[str, Column]:
     return hits
 
 
+def _text_cells(df: DataFrame, exclude_label_columns: bool) -> tuple[list[str], list[str], list[str]]:
+    """Title, description and residual columns of a raw table."""
+    skip = set(tx.TITLE_FIELDS + tx.DESCRIPTION_FIELDS)
+    if exclude_label_columns:
+        skip |= set(tx.L2_FIELDS + tx.RISK_FIELDS)
+    rest = [n for n in df.columns if n not in skip and _is_string(df, n)]
+    return _present(df, tx.TITLE_FIELDS), _present(df, tx.DESCRIPTION_FIELDS), rest
+
+
 def assembled_text(df: DataFrame, exclude_label_columns: bool = False) -> Column:
     """P3 + P4 + P5. Title, description and every other meaningful string cell.
 
     By default that includes the label columns, so labels leak into the text;
     ``exclude_label_columns`` leaves them out.
     """
-    title = tx.first_meaningful([_col(n) for n in _present(df, tx.TITLE_FIELDS)])
-    description = tx.first_meaningful([_col(n) for n in _present(df, tx.DESCRIPTION_FIELDS)])
-    skip = set(tx.TITLE_FIELDS + tx.DESCRIPTION_FIELDS)
-    if exclude_label_columns:
-        skip |= set(tx.L2_FIELDS + tx.RISK_FIELDS)
-    rest = [tx.residual_part(n) for n in df.columns if n not in skip and _is_string(df, n)]
-    return tx.assemble_text([tx.labelled("Finding", title), tx.labelled("Description", description), *rest])
+    titles, descriptions, rest = _text_cells(df, exclude_label_columns)
+    return tx.assemble_text(
+        [
+            tx.labelled("Finding", tx.first_meaningful([_col(n) for n in titles])),
+            tx.labelled("Description", tx.first_meaningful([_col(n) for n in descriptions])),
+            *[tx.residual_part(n) for n in rest],
+        ]
+    )
+
+
+def has_text(df: DataFrame, exclude_label_columns: bool = False) -> Column:
+    """Whether ``assembled_text`` gives anything, without assembling it."""
+    cells = [_col(n) for group in _text_cells(df, exclude_label_columns) for n in group]
+    return reduce(lambda a, b: a | b, [tx.is_meaningful(c) for c in cells], F.lit(False))
 
 
 def raw_to_examples(df: DataFrame, exclude_label_columns: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -126,7 +142,7 @@ def raw_to_examples(df: DataFrame, exclude_label_columns: bool = False, keep: li
     keep = keep or []
     body = df.drop(*keep) if keep else df
     original = F.to_json(F.struct(*[_col(c) for c in body.columns]))
-    examples = df.select(
+    return df.where(has_text(body, exclude_label_columns)).select(
         *[_col(c) for c in keep],
         F.lit("risk").alias("type"),
         assembled_text(body, exclude_label_columns).alias("text"),
@@ -136,7 +152,6 @@ def raw_to_examples(df: DataFrame, exclude_label_columns: bool = False, keep: li
         _raw_risks(body, _present(body, tx.RISK_FIELDS)).alias("macro_risks"),
         F.create_map(F.lit("source"), F.lit("raw_data"), F.lit("original_entry"), original).alias("metadata"),
     )
-    return examples.where(F.col("text").isNotNull())
 
 
 # --------------------------------------------------------------------------
