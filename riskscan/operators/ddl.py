@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskscan.functions import ddl as rules
 from riskscan.functions.text import btrim_u
+from riskscan.operators.common import pin
 from riskscan.taxonomy import str_array
 
 LEVELS = ["PC3", "PC1", "PC0", "AMBIGUOUS"]
@@ -43,12 +44,10 @@ def analyze_ddl(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     """
     text = F.col(ddl)
     ruled = F.transform(rules.columns_of(text), lambda c: c.withField("rules", rules.column_rules(c["column_name"])))
+    out = pin(df.withColumn("_ruled", ruled), {"columns": F.transform("_ruled", _column_finding)}).drop("_ruled")
     out = (
-        df.withColumn("statement_type", rules.statement_type(text))
+        out.withColumn("statement_type", rules.statement_type(text))
         .withColumn("table_name", rules.table_name(text))
-        .withColumn("_ruled", ruled)
-        .withColumn("columns", F.transform("_ruled", _column_finding))
-        .drop("_ruled")
         .withColumn("pii_summary", _summary(F.col("columns")))
     )
     out = out.withColumn(

@@ -19,6 +19,7 @@ from riskscan.functions.responses import (
     with_field,
 )
 from riskscan.functions.text import btrim_u, label_key
+from riskscan.operators.common import pin
 from riskscan.taxonomy import DEFAULT, Taxonomy, str_array
 
 EMPTY_ERROR = "Model returned empty response"
@@ -56,7 +57,7 @@ def parse_responses(
         .when(is_risk, _risk_result(F.col(text)))
         .otherwise(_pii_result(F.col(text)))
     )
-    return staged.select(*[F.col(f"`{c}`") for c in df.columns], result.alias("result"))
+    return pin(staged, {"result": result}).select(*[F.col(f"`{c}`") for c in df.columns], "result")
 
 
 def parse_risk_responses(df: DataFrame, response: str = "response", text: str = "text",

@@ -16,6 +16,7 @@ from riskscan.functions.classify import (
     scan_result,
 )
 from riskscan.functions.text import btrim_u
+from riskscan.operators.common import pin
 from riskscan.taxonomy import DEFAULT, Taxonomy
 
 
@@ -42,7 +43,7 @@ def _scan(lowered: DataFrame, text: str, taxonomy: Taxonomy) -> DataFrame:
     hits = lowered.withColumns(
         {"_named": named_types(F.col("_low"), taxonomy), "_matched": matched_types(F.col(text))}
     )
-    return hits.withColumn("_scan", scan_result(F.col("_named"), F.col("_matched"), taxonomy))
+    return pin(hits, {"_scan": scan_result(F.col("_named"), F.col("_matched"), taxonomy)})
 
 
 def classify_texts(df: DataFrame, text: str = "text", force_type: str | None = None, task_type: str | None = None,

@@ -97,12 +97,12 @@ EXAMPLES_SQL = f"""SELECT * FROM (SELECT id, {assembled_sql(True)} AS text, coal
 {split_sql('Risks')} AS macro_risks FROM {FINDINGS}) WHERE text IS NOT NULL"""
 
 
-@query(
-    "a2_extraction_summary",
-    f"""SELECT {_n()} AS total_training_examples, {_n()} AS risk_examples, CAST(0 AS BIGINT) AS pii_examples,
+A2_SQL = f"""SELECT {_n()} AS total_training_examples, {_n()} AS risk_examples, CAST(0 AS BIGINT) AS pii_examples,
 {_n("l2_category <> 'UNKNOWN'")} AS with_l2, {_n("macro_risks <> ['UNSPECIFIED']")} AS with_risks,
-{_n("l2_category <> 'UNKNOWN' AND macro_risks <> ['UNSPECIFIED']")} AS complete FROM ({EXAMPLES_SQL})""",
-)
+{_n("l2_category <> 'UNKNOWN' AND macro_risks <> ['UNSPECIFIED']")} AS complete FROM ({EXAMPLES_SQL})"""
+
+
+@query("a2_extraction_summary", A2_SQL)
 def a2(spark, sf):
     return rp.extraction_summary(fd.raw_to_examples(fixture(spark, sf, "findings_fx"), keep=["id"]))
 

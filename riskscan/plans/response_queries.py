@@ -56,7 +56,7 @@ def _list(member: str, kind: str) -> str:
 
 def _only_strings(member: str, kind: str) -> str:
     return (
-        f"({kind} <> 'ARRAY' OR len(list_filter(range(json_array_length(j, '$.{member}')), "
+        f"({kind} <> 'ARRAY' OR len(list_filter(range(CAST(json_array_length(j, '$.{member}') AS BIGINT)), "
         f"lambda i: json_type(j, '$.{member}[' || i || ']') <> 'VARCHAR')) = 0)"
     )
 
@@ -190,10 +190,10 @@ def r7(spark, sf):
     )
 
 
-@query(
-    "a1_batch_summary",
-    f"""{RESULTS} SELECT CAST(count(*) AS BIGINT) AS total_texts, CAST(count(*) FILTER (WHERE type = 'risk') AS BIGINT) AS risk_texts,
-CAST(count(*) FILTER (WHERE type = 'pii') AS BIGINT) AS pii_texts, CAST(count(*) FILTER (WHERE success) AS BIGINT) AS successful_analyses FROM results""",
-)
+A1_SQL = f"""{RESULTS} SELECT CAST(count(*) AS BIGINT) AS total_texts, CAST(count(*) FILTER (WHERE type = 'risk') AS BIGINT) AS risk_texts,
+CAST(count(*) FILTER (WHERE type = 'pii') AS BIGINT) AS pii_texts, CAST(count(*) FILTER (WHERE success) AS BIGINT) AS successful_analyses FROM results"""
+
+
+@query("a1_batch_summary", A1_SQL)
 def a1(spark, sf):
     return rp.batch_summary(ro.flatten_results(ro.parse_responses(fixture(spark, sf, "responses_fx"))))

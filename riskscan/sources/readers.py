@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskscan.functions.text import btrim_u
 from riskscan.operators.findings import raw_to_examples
@@ -30,7 +29,7 @@ TEXT_NAME_PARTS = ["text", "description", "content", "finding", "detail"]
 TEXT_KEYS = ["text", "description", "content"]
 EMPTY_JSON = ["false", "0", "0.0", "[]", "{}"]
 
-EXAMPLE_SCHEMA = T.StructType.fromDDL(
+EXAMPLE_SCHEMA = (
     "type string, text string, l2_category string, macro_risks array<string>, pc_category string, "
     "pii_types array<string>, metadata map<string,string>, ddl_statement string, "
     "analysis_result struct<table_name:string,overall_classification:string,detected_pii_types:array<string>,"
