@@ -178,21 +178,23 @@ def infer_risks(context: Column, l2_key: Column, taxonomy: Taxonomy = DEFAULT) -
     candidates = F.element_at(_risk_words(taxonomy), l2_key)
 
     def fits(risk: Column, seen: Column) -> Column:
-        shared = F.size(F.array_intersect(risk["words"], seen["words"]))
-        return (shared >= F.least(F.lit(2), F.size(risk["words"]))) | F.exists(
-            risk["long_words"], lambda w: F.contains(seen["low"], w)
+        shared = F.size(F.filter(risk["words"], lambda w: F.contains(seen["spaced"], F.concat(F.lit(" "), w, F.lit(" ")))))
+        return F.exists(risk["long_words"], lambda w: F.contains(seen["low"], w)) | (
+            shared >= F.least(F.lit(2), F.size(risk["words"]))
         )
 
     def hits(seen: Column) -> Column:
         return F.transform(F.filter(candidates, lambda r: fits(r, seen)), lambda r: r["risk"])
 
-    found = bind(_word_view(F.lower(context)), hits)
+    found = bind(bind(F.lower(context), _spaced_view), hits)
     return F.when(l2_key.isNotNull(), F.coalesce(found, str_array([]))).otherwise(str_array([]))
 
 
-def _word_view(low: Column) -> Column:
-    """struct<low, words> of lower-cased text."""
-    return bind(low, lambda t: F.struct(t.alias("low"), F.array_distinct(split_words(t)).alias("words")))
+def _spaced_view(low: Column) -> Column:
+    """struct<low, spaced>: a whole word is a substring of ``spaced`` between two spaces,
+    so that a long text need not become an array of words."""
+    spaced = F.concat(F.lit(" "), F.regexp_replace(low, rf"(?U)[{BLANK}]+", " "), F.lit(" "))
+    return F.struct(low.alias("low"), spaced.alias("spaced"))
 
 
 def infer_l2(risks: Column, taxonomy: Taxonomy = DEFAULT) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskscan.plans.registry import plain_sql, spark_sql
+from riskscan.plans.registry import plain_sql, spark_sql, spread
 
 PII_TEMPLATE = """
 SELECT @key AS id,
@@ -155,7 +155,7 @@ FROM $customer JOIN $nation ON c_nationkey = n_nationkey
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text, sources = FIXTURES[name]
-    return spark_sql(spark, sf_dir, text, sources)
+    return spread(spark_sql(spark, sf_dir, text, sources))
 
 
 def fixture_sql(name: str) -> str:

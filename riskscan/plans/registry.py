@@ -30,7 +30,22 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+TEXT_TABLES = {"documents", "pages"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spreads a table that is too small to occupy the cluster.
+
+    A scan cannot split a row group, so a small file of long texts would be
+    worked on by one task.  A table with at least one partition per core, as any
+    large one has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def spark_sql(spark: SparkSession, sf_dir: str, text: str, names: list[str]) -> DataFrame:

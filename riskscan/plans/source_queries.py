@@ -16,6 +16,7 @@ from riskscan.plans.fixtures import fixture, fixture_sql
 from riskscan.plans.registry import query, table
 from riskscan.plans.report_queries import A2_SQL, EXAMPLES_SQL
 from riskscan.plans.response_queries import A1_SQL
+from riskscan.plans.text_queries import meaningful_sql
 from riskscan.sources import readers as rd
 from riskscan.sources import writers as wr
 
@@ -47,6 +48,7 @@ def _csv_findings(spark, sf) -> str:
     even = raw.where("id % 2 = 0")
     odd = raw.where("id % 2 = 1").drop("Origin")
     options = {"header": "true", "escape": '"', "quoteAll": "true"}
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     even.write.options(**options, encoding="UTF-8").csv(f"{folder}/a")
     odd.write.options(**options, encoding="ISO-8859-1").csv(f"{folder}/b")
     return folder
@@ -82,7 +84,7 @@ def s3(spark, sf):
 @query(
     "s5_load_examples",
     f"""SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE L2 <> '') AS BIGINT) AS with_l2, CAST(count(Risks) AS BIGINT) AS with_risks
-FROM ({CSV_SQL}) WHERE Title IS NOT NULL OR Description IS NOT NULL OR L2 IS NOT NULL OR Risks IS NOT NULL OR Origin IS NOT NULL OR Note IS NOT NULL""",
+FROM ({CSV_SQL}) WHERE {' OR '.join(meaningful_sql(c) for c in ('Title', 'Description', 'L2', 'Risks', 'Origin', 'Note'))}""",
 )
 def s5(spark, sf):
     summary = rp.extraction_summary(rd.load_examples(spark, _csv_findings(spark, sf)))
