@@ -164,7 +164,8 @@ def _type_names(taxonomy: Taxonomy) -> Column:
 
 def named_types(low: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """C5a. array<string> of the types whose name occurs in lower-cased text."""
-    return F.transform(F.filter(_type_names(taxonomy), lambda n: F.contains(low, n["low"])), lambda n: n["name"])
+    hits = F.transform(F.filter(_type_names(taxonomy), lambda n: F.contains(low, n["low"])), lambda n: n["name"])
+    return F.when(low.isNotNull(), hits)
 
 
 def pattern_hits(text: Column) -> dict[str, Column]:
