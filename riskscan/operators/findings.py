@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from riskscan.functions import text as tx
 from riskscan.functions.matching import infer_l2, infer_risks, normalise_l2, normalise_risks, split_risks
+from riskscan.operators.common import pin
 from riskscan.taxonomy import DEFAULT, Taxonomy, str_array
 
 # --------------------------------------------------------------------------
@@ -252,25 +253,29 @@ def label_findings(df: DataFrame, text_columns: list[str] | None = None, keep: l
             found
         ),
     )
-    step = step.withColumn("_label", F.coalesce(l2, infer_l2(F.col("_risks"), taxonomy)))
+    step = pin(step, {"_label": F.coalesce(l2, infer_l2(F.col("_risks"), taxonomy)), "_bad_format": bad_format})
     no_l2, no_risks = F.col("_label").isNull(), F.size("_risks") == 0
     reasons = (
         F.when(F.col("_context").isNull(), str_array(["empty_data"]))
-        .when(bad_format, str_array(["invalid_format"]))
+        .when(F.col("_bad_format"), str_array(["invalid_format"]))
         .when(no_l2 & no_risks, str_array(["no_l2", "no_risks"]))
         .otherwise(str_array([]))
     )
-    return step.select(
+    out = step.select(
         *[_col(c) for c in keep or []],
         _col("L2").alias("raw_l2"),
         _col("MACRO_RISKS").alias("raw_risks"),
         F.col("_context").alias("context"),
-        F.coalesce(F.col("_label"), F.lit(tx.UNKNOWN)).alias("l2_category"),
-        F.col("_l2.tier").alias("l2_tier"),
-        F.when(no_risks, F.array(F.lit(tx.UNSPECIFIED))).otherwise(F.col("_risks")).alias("macro_risks"),
         metadata_map(df, originals, extra).alias("metadata"),
-        reasons.alias("reject_reasons"),
+        "_label", "_l2", "_risks", "_context", "_bad_format",
     )
+    made = {
+        "l2_category": F.coalesce(F.col("_label"), F.lit(tx.UNKNOWN)),
+        "l2_tier": F.col("_l2.tier"),
+        "macro_risks": F.when(no_risks, F.array(F.lit(tx.UNSPECIFIED))).otherwise(F.col("_risks")),
+        "reject_reasons": reasons,
+    }
+    return pin(out, made).drop("_label", "_l2", "_risks", "_context", "_bad_format")
 
 
 def _as_text(df: DataFrame, name: str) -> Column:

@@ -1,13 +1,12 @@
 """Counts and top lists over results and examples.
 
 All of them are plain grouped aggregates: partial sums leave each task, so hot
-values are harmless, and a top-k keeps k rows per task.  Totals come from a
-one-row scalar subquery.  Ties are broken by name.
+values are harmless, and a top-k keeps k rows per task.  Ties are broken by name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskscan.functions import text as tx
@@ -20,10 +19,6 @@ def _percent(part: Column, total: Column) -> Column:
     return F.when(total > 0, F.round(part * 100.0 / total, 1)).otherwise(0.0)
 
 
-def _total(df: DataFrame) -> Column:
-    return df.agg(F.count("*")).scalar()
-
-
 def _top(counts: DataFrame, name: str, k: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), F.asc(name)).limit(k)
 
@@ -111,17 +106,32 @@ def top_risk_values(labelled: DataFrame, column: str = "raw_risks", unmatched_on
 
 
 def l2_distribution(examples: DataFrame) -> DataFrame:
-    """A7. (l2_key, n, pct of all examples) without UNKNOWN; keys sort as strings."""
-    known = examples.where(F.col("l2_category") != tx.UNKNOWN)
-    counts = known.groupBy(F.substring_index("l2_category", ".", 1).alias("l2_key")).agg(F.count("*").alias("n"))
-    return counts.withColumn("pct", _percent(F.col("n"), _total(examples))).orderBy("l2_key")
+    """A7. (l2_key, n, pct of all examples) without UNKNOWN; keys sort as strings.
+
+    The total is the sum of the same grouped counts, so the examples are read once.
+    """
+    key = F.when(F.col("l2_category") != tx.UNKNOWN, F.substring_index("l2_category", ".", 1))
+    counts = examples.groupBy(key.alias("l2_key")).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    # Also looks at n, so that the filter stays above the counts and both uses share them.
+    known = counts.where(F.when(F.col("l2_key").isNotNull(), F.col("n")) > 0)
+    return known.withColumn("pct", _percent(F.col("n"), total)).orderBy("l2_key")
 
 
 def top_macro_risks(examples: DataFrame, k: int = TOP) -> DataFrame:
-    """A8. (risk, n, pct of all examples)."""
-    risks = examples.select(F.explode("macro_risks").alias("risk")).where(F.col("risk") != tx.UNSPECIFIED)
-    best = _top(risks.groupBy("risk").agg(F.count("*").alias("n")), "risk", k)
-    return best.withColumn("pct", _percent(F.col("n"), _total(examples)))
+    """A8. (risk, n, pct of all examples).
+
+    Every example adds one null next to its risks, so that the total comes out of
+    the same grouped counts; the null row sorts first and rides along with the top k.
+    """
+    marked = examples.select(F.explode(F.concat(F.array(F.lit(None).cast("string")), "macro_risks")).alias("risk"))
+    counted = marked.where(F.col("risk").isNull() | (F.col("risk") != tx.UNSPECIFIED))
+    counts = counted.groupBy("risk").agg(F.count("*").alias("n"))
+    best = counts.orderBy(F.col("risk").isNotNull(), F.desc("n"), "risk").limit(k + 1)
+    everything = Window.partitionBy()  # k + 1 rows
+    with_total = best.withColumn("_total", F.max(F.when(F.col("risk").isNull(), F.col("n"))).over(everything))
+    named = with_total.where(F.col("risk").isNotNull())
+    return named.select("risk", "n", _percent(F.col("n"), F.col("_total")).alias("pct"))
 
 
 def pc_distribution(examples: DataFrame) -> DataFrame:
