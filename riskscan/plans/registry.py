@@ -49,10 +49,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def spark_sql(spark: SparkSession, sf_dir: str, text: str, names: list[str]) -> DataFrame:
-    """Runs SQL whose tables are written ``$name`` over the tables of ``sf_dir``."""
+    """Runs SQL whose tables are written ``$name`` over the tables of ``sf_dir``; the first one drives the work."""
     escaped = text.replace("{", "{{").replace("}", "}}")
     statement = Template(escaped).substitute({n: "{" + n + "}" for n in names})
-    return spark.sql(statement, **{n: table(spark, sf_dir, n) for n in names})
+    driving, *others = names
+    return spark.sql(
+        statement, **{driving: spread(table(spark, sf_dir, driving))}, **{n: table(spark, sf_dir, n) for n in others}
+    )
 
 
 def plain_sql(text: str, names: list[str]) -> str:
