@@ -78,3 +78,10 @@ def by_range(df: DataFrame, column: str, bucket: str, parts: int | None = None)
     parts = parts or shuffle_partitions(df.sparkSession)
     cuts = range_cuts(df.select(column), column, parts)
     return df.withColumn(bucket, range_of(F.col(column), cuts)).repartitionById(len(cuts) + 1, F.col(bucket))
+
+
+def tokenizer_file(name: str) -> str:
+    """Where the installed package of public tokenizers keeps a file."""
+    from public_tokenizers import path
+
+    return path(name)
