@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from riskscan.llm.common import by_range
 from riskscan.llm.encoding import encoder
@@ -81,7 +82,7 @@ def read_documents(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
     return spark.read.schema(SCHEMA).orc(path).where(F.col("doc_id").isin(ids)).select("doc_id", "n_tokens", "ids")
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(BinaryType())
 def id_bytes(ids: pa.Array) -> pa.Array:
     """Ids as little-endian unsigned 32-bit numbers."""
     raw = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
