@@ -40,9 +40,11 @@ def line_rows(docs: DataFrame) -> DataFrame:
             F.xxhash64(F.trim(line)).alias("h"), F.greatest(F.lit(1), F.regexp_count(line, F.lit(WORD))).alias("w")
         ),
     )
-    return docs.where(F.col("text").isNotNull()).select(
-        F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_spot"),
-        F.posexplode(lines).alias("_n", "_line"),
+    rows = docs.where(F.col("text").isNotNull()).select(
+        F.col("doc_id").alias("_id"), "text", F.monotonically_increasing_id().alias("_spot")  # numbers rows, not lines
+    )
+    return rows.select(
+        "_id", F.xxhash64("text").alias("_hash"), "_spot", F.posexplode(lines).alias("_n", "_line")
     ).select("_id", "_hash", "_spot", "_n", F.col("_line.h").alias("_h"), F.col("_line.w").cast("long").alias("_w"))
 
 
