@@ -39,8 +39,8 @@ from riskscan.llm.components import connected
 BITS = 64
 HASHED_AT_ONCE = 1 << 16
 #: Variants that one task makes on average, and at most holds at a time.
-VARIANTS_PER_KEY = 1 << 21
-VARIANTS_AT_ONCE = 1 << 23
+VARIANTS_PER_KEY = 1 << 20
+VARIANTS_AT_ONCE = 1 << 21
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -108,7 +108,7 @@ class Balls:
             for at in range(0, len(own), step):
                 part = own[at:at + step]
                 v = (values[part][:, None] ^ self.masks[int(d)][None, :]).ravel()
-                o = np.repeat(part, len(self.masks[int(d)]))
+                o = np.repeat(part.astype(np.int32), len(self.masks[int(d)]))
                 if rounds > 1:
                     keep = ((v * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(rounds) == this
                     v, o = v[keep], o[keep]
