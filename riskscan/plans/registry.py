@@ -31,21 +31,18 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return dealt_out(df) if name in TEXT_TABLES else df
 
 
 TEXT_TABLES = {"documents", "pages"}
+#: Session setting: deal the driving table out to so many partitions.  Unset, tables are read as they are split.
+DEAL_OUT = "riskscan.input.partitions"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads a table that is too small to occupy the cluster.
-
-    A scan cannot split a row group, so a small file of long texts would be
-    worked on by one task.  A table with at least one partition per core, as any
-    large one has, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The table, dealt out anew if the session asks for it, as for files of a single row group (bench.py does)."""
+    wanted = df.sparkSession.conf.get(DEAL_OUT, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def spark_sql(spark: SparkSession, sf_dir: str, text: str, names: list[str]) -> DataFrame:
@@ -54,10 +51,15 @@ def spark_sql(spark: SparkSession, sf_dir: str, text: str, names: list[str]) ->
     statement = Template(escaped).substitute({n: "{" + n + "}" for n in names})
     driving, *others = names
     return spark.sql(
-        statement, **{driving: spread(table(spark, sf_dir, driving))}, **{n: table(spark, sf_dir, n) for n in others}
+        statement, **{driving: driving_table(spark, sf_dir, driving)}, **{n: table(spark, sf_dir, n) for n in others}
     )
 
 
+def driving_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = table(spark, sf_dir, name)
+    return df if name in TEXT_TABLES else dealt_out(df)
+
+
 def plain_sql(text: str, names: list[str]) -> str:
     """The same text with plain table names."""
     return Template(text).substitute({n: n for n in names})
