@@ -12,13 +12,20 @@ from riskscan.operators.report import batch_summary, extraction_summary
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under the shared one the session names in spark.checkpoint.dir;
-    a local temporary one only where the setting is missing, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riskscan-")
+    """A fresh folder under the shared one the session names in spark.checkpoint.dir.
+
+    A session on a single machine may go without the setting and gets a temporary
+    folder; on a cluster, executors would not see one another's files, so it is required.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="riskscan-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def write_examples_jsonl(examples: DataFrame, out: str, raw: DataFrame | None = None, mode: str = "overwrite") -> str:
+def write_examples_jsonl(examples: DataFrame, out: str, raw: DataFrame | None = None, mode: str = "errorifexists") -> str:
     """S6. One JSON object per line under ``out``/examples.
 
     When there is not a single example the raw rows go to ``out``/raw_backup
@@ -34,7 +41,7 @@ def write_examples_jsonl(examples: DataFrame, out: str, raw: DataFrame | None =
     return path
 
 
-def write_extraction_summary(examples: DataFrame, out: str, n_files: int, n_raw: int, mode: str = "overwrite") -> str:
+def write_extraction_summary(examples: DataFrame, out: str, n_files: int, n_raw: int, mode: str = "errorifexists") -> str:
     """S7. One JSON row of counts."""
     path = f"{out}/extraction_summary"
     summary = extraction_summary(examples).select(
@@ -46,7 +53,7 @@ def write_extraction_summary(examples: DataFrame, out: str, n_files: int, n_raw:
     return path
 
 
-def write_results(results: DataFrame, out: str, fmt: str = "parquet", mode: str = "overwrite") -> tuple[str, str]:
+def write_results(results: DataFrame, out: str, fmt: str = "parquet", mode: str = "errorifexists") -> tuple[str, str]:
     """S8. (results path, summary path): the result table and its one-row count.
 
     The summary reads the written table, so the results are computed once.
@@ -58,7 +65,7 @@ def write_results(results: DataFrame, out: str, fmt: str = "parquet", mode: str
     return path, summary
 
 
-def write_chat_split(chats: DataFrame, out: str, mode: str = "overwrite") -> str:
+def write_chat_split(chats: DataFrame, out: str, mode: str = "errorifexists") -> str:
     """S9. Chat rows as JSON, one sub-folder per split."""
     chats.select("split", "messages").write.mode(mode).partitionBy("split").json(out)
     return out
