@@ -87,7 +87,10 @@ def empty_field_counts(df: DataFrame, title: str = "FINDING_TITLE", description:
 
 
 def top_l2_values(labelled: DataFrame, column: str = "raw_l2", unmatched_only: bool = False, k: int = TOP) -> DataFrame:
-    """A6. The most frequent raw L2 values (value, n)."""
+    """A6. The most frequent raw L2 values (value, n).
+
+    Only ``unmatched_only`` needs labelled rows; otherwise the raw table will do.
+    """
     rows = labelled.where(F.col("l2_category") == tx.UNKNOWN) if unmatched_only else labelled
     value = tx.btrim_u(F.col(column).cast("string"))
     return _top(rows.where(F.col(column).isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("n")),

@@ -150,7 +150,7 @@ def a5(spark, sf):
     f"SELECT {trim_sql('L2')} AS value, {_n()} AS n FROM {FINDINGS} WHERE L2 IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 10",
 )
 def a6_l2(spark, sf):
-    return rp.top_l2_values(labelled_findings(spark, sf))
+    return rp.top_l2_values(fixture(spark, sf, "findings_fx"), "L2")  # raw values need no labels
 
 
 @query(
@@ -158,7 +158,7 @@ def a6_l2(spark, sf):
     f"SELECT Risks AS value, {_n()} AS n FROM {FINDINGS} WHERE Risks IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 10",
 )
 def a6_risks(spark, sf):
-    return rp.top_risk_values(labelled_findings(spark, sf))
+    return rp.top_risk_values(fixture(spark, sf, "findings_fx"), "Risks")
 
 
 @query(
