@@ -40,9 +40,14 @@ def best_matches(query: Column, choices: list[str], k: int = 3, cutoff: float =
     )
 
 
-def within_reach(text: Column, names: list[str]) -> Column:
-    """The text, or null where it is so long that no weighted score can reach 65:
-    from eight times the longest name on, window scores are damped to 60."""
+def within_reach(text: Column, names: list[str], cutoff: float) -> Column:
+    """The text, or null where it is so long that no weighted score can reach the cutoff.
+
+    From eight times the longest name on, window scores are damped to 60 and whole
+    scores stay below 23, so nothing is lost above that; a lower cutoff has no such bound.
+    """
+    if cutoff <= 100 * sim.FAR_DAMP:
+        raise ValueError(f"texts have no length bound at a cutoff of {cutoff}")
     core = F.regexp_replace(text, f"^[^{WORD}]+|[^{WORD}]+$", "")
     limit = int(sim.FAR * max(len(sim.normalise(n)) for n in names))
     return F.when(F.length(core) < limit, text)
@@ -56,7 +61,7 @@ def match_risk_text(text: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     """
     names = list(taxonomy.l2.values())
     risks = [taxonomy.macro_risks.get(key, []) for key in taxonomy.l2]
-    hit = sim.nested_hits(within_reach(text, names), names, risks, L2_TEXT_CUTOFF, RISK_TEXT_CUTOFF)
+    hit = sim.nested_hits(within_reach(text, names, L2_TEXT_CUTOFF), names, risks, L2_TEXT_CUTOFF, RISK_TEXT_CUTOFF)
     return F.struct(
         F.get(str_array(taxonomy.l2_labels), hit["ord"]).alias("l2_category"),
         hit["children"].alias("macro_risks"),
@@ -98,15 +103,19 @@ def normalise_l2(label: Column, taxonomy: Taxonomy = DEFAULT) -> Column:
     settled = F.coalesce(exact, stripped, word)
     left = F.when(settled.isNull(), F.lower(btrim_u(label)))
     hits = sim.best_hits(left, list(taxonomy.l2.values()), sim.weighted, L2_LABEL_CUTOFF, 1)
-    fuzzy = F.get(str_array(taxonomy.l2_labels), F.get(hits, F.lit(0))["ord"])
-    tier = (
-        F.when(exact.isNotNull(), "exact")
-        .when(stripped.isNotNull(), "stripped")
-        .when(word.isNotNull(), "word")
-        .when(fuzzy.isNotNull(), "fuzzy")
-        .otherwise("none")
-    )
-    return F.struct(F.coalesce(settled, fuzzy).alias("l2_category"), tier.alias("tier"))
+
+    def result(found: Column) -> Column:
+        fuzzy = F.get(str_array(taxonomy.l2_labels), F.get(found, F.lit(0))["ord"])
+        tier = (
+            F.when(exact.isNotNull(), "exact")
+            .when(stripped.isNotNull(), "stripped")
+            .when(word.isNotNull(), "word")
+            .when(fuzzy.isNotNull(), "fuzzy")
+            .otherwise("none")
+        )
+        return F.struct(F.coalesce(settled, fuzzy).alias("l2_category"), tier.alias("tier"))
+
+    return bind(hits, result)  # the scorer is called once, though its hits are used twice
 
 
 # --------------------------------------------------------------------------

@@ -3,26 +3,30 @@
 Scores are 0-100.  Similarity is the insert/delete kind: twice the longest
 common subsequence over the summed lengths.  Spark has no such function
 (``levenshtein`` also substitutes), so this is the one place where values
-cross to Python - in Arrow batches, only for values no exact rule has settled,
-and each distinct value once per worker thanks to a bounded memo.  There is no
-shuffle, so one label that fills a third of the table costs nothing extra.
+cross to Python - in Arrow batches, only for values no exact rule has settled.
+Each worker process keeps a bounded memo across its tasks, so a repeated value is
+scored about once per worker; values of over a thousand characters are not kept.
+There is no shuffle, so one label that fills a third of the table costs nothing extra.
 """
 
 from __future__ import annotations
 
 import re
-import sys
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MEMO_SIZE = 1 << 16
 NEAR = 1.5  # below this length ratio whole strings are compared, above it windows
 FAR = 8.0  # from this length ratio on, window scores are damped further
+NEAR_DAMP, FAR_DAMP = 0.9, 0.6
+TOKEN_DAMP = 0.95
+
+MEMO_CHARS = 1 << 22  # what a worker's memo may hold, counted in characters of its keys
+MEMO_LONGEST = 1 << 10  # longer values are scored each time
 
 
 def normalise(s: str) -> str:
@@ -30,13 +34,22 @@ def normalise(s: str) -> str:
     return re.sub(r"\W", " ", s.lower()).strip()
 
 
-def _position_bits(s: str) -> dict[str, int]:
+@lru_cache(maxsize=1 << 10)
+def _kept_bits(s: str) -> dict[str, int]:
+    return _made_bits(s)
+
+
+def _made_bits(s: str) -> dict[str, int]:
     bits: dict[str, int] = {}
     for pos, ch in enumerate(s):
         bits[ch] = bits.get(ch, 0) | (1 << pos)
     return bits
 
 
+def _position_bits(s: str) -> dict[str, int]:
+    return _kept_bits(s) if len(s) <= 128 else _made_bits(s)
+
+
 def _lcs(bits: dict[str, int], size: int, other: str) -> int:
     """Length of the longest common subsequence, one machine-word step per character."""
     full = (1 << size) - 1
@@ -54,26 +67,49 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * _lcs(_position_bits(a), len(a), b) / (len(a) + len(b))
 
 
-def partial(a: str, b: str) -> float:
+def partial(a: str, b: str, floor: float = 0.0) -> float:
     """Best ratio of the shorter string against a stretch of the longer one: every
-    window of its own length, and the shorter stretches at both ends."""
+    window of its own length, and the shorter stretches at both ends.
+
+    Exact where it exceeds ``floor``; otherwise no more than that.
+    """
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return 100.0 if not b else 0.0
-    best = _best_window(a, b)
-    return max(best, _best_window(b, a)) if len(a) == len(b) else best
-
-
-def _best_window(a: str, b: str) -> float:
-    bits, size, best = _position_bits(a), len(a), 0.0
-    for start in range(1 - size, len(b)):
-        window = b[max(start, 0):start + size]
-        if 200.0 * min(size, len(window)) / (size + len(window)) > best:  # can still win
-            best = max(best, 200.0 * _lcs(bits, size, window) / (size + len(window)))
-            if best == 100.0:
-                break
-    return best
+    best = _best_window(a, b, floor)
+    return max(best, _best_window(b, a, max(floor, best))) if len(a) == len(b) else best
+
+
+def _best_window(a: str, b: str, floor: float) -> float:
+    """Slides over ``b`` and counts the characters that window and ``a`` share; no
+    common subsequence is longer, so only windows that can still win are compared."""
+    bits, size, best, found = _position_bits(a), len(a), floor, 0.0
+    left = Counter(a)  # of each character of a, how many more the window may have
+    shared, end = 0, len(b)
+    for stop in range(1, end + size):  # the window is b[stop - size:stop], cut at both ends
+        if stop <= end:
+            ch = b[stop - 1]
+            if ch in left:
+                left[ch] -= 1
+                if left[ch] >= 0:
+                    shared += 1
+        start = stop - size
+        if start > 0:
+            ch = b[start - 1]
+            if ch in left:
+                left[ch] += 1
+                if left[ch] > 0:
+                    shared -= 1
+        width = min(stop, end) - max(start, 0)
+        if 200.0 * shared / (size + width) > best:
+            score = 200.0 * _lcs(bits, size, b[max(start, 0):stop]) / (size + width)
+            found = max(found, score)
+            if score > best:
+                best = score
+                if best == 100.0:
+                    break
+    return found
 
 
 def token_sort(a: str, b: str) -> float:
@@ -93,26 +129,36 @@ def token_set(a: str, b: str) -> float:
     return max([ratio(with_a, with_b)] + ([ratio(base, with_a), ratio(base, with_b)] if shared else []))
 
 
-def _partial_token(a: str, b: str) -> float:
+def _partial_token(a: str, b: str, floor: float = 0.0) -> float:
     words_a, words_b = a.split(), b.split()
-    if set(words_a) & set(words_b):
+    if not set(words_a).isdisjoint(words_b):
         return 100.0
-    best = partial(" ".join(sorted(words_a)), " ".join(sorted(words_b)))
+    best = partial(" ".join(sorted(words_a)), " ".join(sorted(words_b)), floor)
     once_a, once_b = sorted(set(words_a)), sorted(set(words_b))
     if len(once_a) == len(words_a) and len(once_b) == len(words_b):
         return best
-    return max(best, partial(" ".join(once_a), " ".join(once_b)))
+    return max(best, partial(" ".join(once_a), " ".join(once_b), max(floor, best)))
 
 
-def weighted(a: str, b: str) -> float:
+def weighted(a: str, b: str, floor: float = 0.0) -> float:
+    """Exact from ``floor`` on; otherwise less than that."""
     if not a or not b:
         return 0.0
     spread = max(len(a), len(b)) / min(len(a), len(b))
-    whole = ratio(a, b)
     if spread < NEAR:
-        return max(whole, 0.95 * max(token_sort(a, b), token_set(a, b)))
-    k = 0.9 if spread < FAR else 0.6
-    return max(whole, k * partial(a, b), 0.95 * k * _partial_token(a, b))
+        return max(ratio(a, b), TOKEN_DAMP * max(token_sort(a, b), token_set(a, b)))
+    k = NEAR_DAMP if spread < FAR else FAR_DAMP
+    most = 200.0 * min(len(a), len(b)) / (len(a) + len(b))
+    least = floor * (1 - 1e-9)  # what falls short of it by no more than rounding is still computed
+    if max(most, 100 * k) < least:
+        return 0.0
+    whole = ratio(a, b) if most >= least else 0.0
+    best = max(whole, least)
+    by_token = TOKEN_DAMP * k * _partial_token(a, b, min(100.0, best / (TOKEN_DAMP * k)) * (1 - 1e-9))
+    best = max(best, by_token)
+    window = k * partial(a, b, min(100.0, best / k) * (1 - 1e-9)) if best < 100 * k else 0.0
+    score = max(whole, window, by_token)
+    return score if score >= floor else 0.0
 
 
 def similarity(a: str | None, b: str | None, cutoff: float = 65.0) -> float:
@@ -130,29 +176,50 @@ def similarity(a: str | None, b: str | None, cutoff: float = 65.0) -> float:
 # Columns
 # --------------------------------------------------------------------------
 
-# Workers get this module inside the function, so they need no installed package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
 def _once(udf: Callable) -> Callable:
     """Keeps the optimizer from copying the call into a filter below it and so scoring every row twice."""
     return udf.asNondeterministic()
 
 
+class _Memo:
+    """Results of one worker process, by scorer, cutoff and names; bounded by the length of the keys it holds."""
+
+    def __init__(self):
+        self.tables: dict[tuple, dict] = {}
+        self.chars = 0
+
+    def get(self, table: tuple, key, size: int, make: Callable):
+        if size > MEMO_LONGEST:
+            return make()
+        known = self.tables.setdefault(table, {})
+        if key not in known:
+            self.chars += size + 64  # an entry costs something even when it is short
+            if self.chars > MEMO_CHARS:
+                self.tables.clear()
+                self.chars = size + 64
+                known = self.tables.setdefault(table, {})
+            known[key] = make()
+        return known[key]
+
+
+_MEMO = _Memo()
+
+
 def _hits(names: Sequence[str], scorer: Callable, cutoff: float, k: int | None) -> Callable:
     """value -> [(ord, score)] of the names at or above the cutoff, best first, ties in name order.
 
-    Built once per task, with a bounded memo: a repeated label is scored once.
+    A repeated label is scored once per worker process, whatever task asks.
     """
     normal = [normalise(n) for n in names]
+    table = (tuple(normal), scorer.__name__, cutoff, k)
+    below_cutoff = (cutoff,) if scorer is weighted else ()
 
-    @lru_cache(maxsize=MEMO_SIZE)
-    def hits(value: str) -> list[tuple[int, float]]:
+    def score(value: str) -> list[tuple[int, float]]:
         query = normalise(value)
-        scored = [(pos, scorer(query, name)) for pos, name in enumerate(normal)] if query else []
+        scored = [(pos, scorer(query, name, *below_cutoff)) for pos, name in enumerate(normal)] if query else []
         return sorted([s for s in scored if s[1] >= cutoff], key=lambda s: (-s[1], s[0]))[:k]
 
-    return hits
+    return lambda value: _MEMO.get(table, value, len(value), lambda: score(value))
 
 
 def similarity_col(a: Column, b: Column, cutoff: float = 65.0) -> Column:
@@ -160,7 +227,9 @@ def similarity_col(a: Column, b: Column, cutoff: float = 65.0) -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        pair_score = lru_cache(maxsize=MEMO_SIZE)(lambda x, y: similarity(x, y, cutoff))
+        def pair_score(x: str, y: str) -> float:
+            return _MEMO.get(("pair", cutoff), (x, y), len(x) + len(y), lambda: similarity(x, y, cutoff))
+
         for left, right in batches:
             yield pd.Series([pair_score(x or "", y or "") for x, y in zip(left, right)], dtype="float64")
 
@@ -181,6 +250,21 @@ def best_hits(value: Column, names: Sequence[str], scorer: Callable = weighted,
     return _once(match)(value)
 
 
+def names_of_several(cells: Sequence[tuple[Column, Callable, float, int | None]], names: Sequence[str]) -> Column:
+    """array<string>: the best names of several cells of a row, each (value, scorer, cutoff, k), all together
+    in name order; one call for all of them."""
+    rules = [c[1:] for c in cells]
+
+    @F.pandas_udf("array<string>")
+    def match(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        hits = [_hits(names, *rule) for rule in rules]
+        for columns in batches:
+            found = [sorted({o for hit, v in zip(hits, row) if v is not None for o, _ in hit(v)}) for row in zip(*columns)]
+            yield pd.Series([[names[o] for o in ords] for ords in found], dtype="object")
+
+    return _once(match)(*[c[0] for c in cells])
+
+
 def best_names_of_each(values: Column, names: Sequence[str], scorer: Callable = weighted, cutoff: float = 55.0,
                        k: int | None = 2) -> Column:
     """array<string>: the best ``k`` names of every element of an array, all together in name order."""

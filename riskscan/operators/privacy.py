@@ -24,7 +24,7 @@ def privacy_text(df: DataFrame) -> Column:
     """P14. The lines that describe one inventory column."""
     return F.concat_ws(
         "\n",
-        tx.labelled("Database Column", F.coalesce(_maybe(df, "COLUMNNAME"), F.lit("nan"))),
+        tx.labelled("Database Column", _maybe(df, "COLUMNNAME")),
         tx.labelled("Entity", _maybe(df, "ENTITYNAME")),
         tx.labelled("Description", _maybe(df, "ENTITYDESC")),
         tx.labelled("Privacy Description", _maybe(df, "PRIVACYTYPEDESCRIPTION")),
@@ -35,20 +35,9 @@ def match_pii_types(privacy_type: Column, privacy_name: Column, description: Col
                     taxonomy: Taxonomy = DEFAULT) -> Column:
     """F10, the matching part: types by type and name (weighted, 75, best two each) and by
     description (token set, 65, best three), in taxonomy order.  A missing cell matches nothing."""
-    names = taxonomy.pii_types
-
-    def ords(value: Column, scorer, cutoff: float, k: int) -> Column:
-        hits = sim.best_hits(value, names, scorer, cutoff, k)
-        return F.coalesce(F.transform(hits, lambda h: h["ord"]), F.array().cast("array<int>"))
-
-    found = F.array_union(
-        F.array_union(
-            ords(tx.btrim_u(privacy_type), sim.weighted, TYPE_CUTOFF, TYPE_TOP),
-            ords(tx.btrim_u(privacy_name), sim.weighted, TYPE_CUTOFF, TYPE_TOP),
-        ),
-        ords(description, sim.token_set, DESCRIPTION_CUTOFF, DESCRIPTION_TOP),
-    )
-    return F.transform(F.array_sort(found), lambda o: F.element_at(str_array(names), o + 1))
+    by_name, by_text = (sim.weighted, TYPE_CUTOFF, TYPE_TOP), (sim.token_set, DESCRIPTION_CUTOFF, DESCRIPTION_TOP)
+    cells = [(tx.btrim_u(privacy_type), *by_name), (tx.btrim_u(privacy_name), *by_name), (description, *by_text)]
+    return sim.names_of_several(cells, taxonomy.pii_types)
 
 
 def label_privacy(df: DataFrame, taxonomy: Taxonomy = DEFAULT) -> DataFrame:

@@ -347,7 +347,7 @@ def f9(spark, sf):
 PRIVACY = fixture_sql("privacy_fx")
 _WEIGHTED_VALUES = f"(SELECT {trim_sql('PRIVACYTYPE')} AS v FROM {PRIVACY} UNION ALL SELECT {trim_sql('PRIVACYTYPENAME')} FROM {PRIVACY})"
 PRIVACY_TEXT_SQL = (
-    "concat_ws(chr(10), 'Database Column: ' || coalesce(COLUMNNAME, 'nan'), 'Entity: ' || ENTITYNAME, "
+    "concat_ws(chr(10), 'Database Column: ' || COLUMNNAME, 'Entity: ' || ENTITYNAME, "
     "'Privacy Description: ' || PRIVACYTYPEDESCRIPTION)"
 )
 PRIVACY_CTE = f"""WITH
