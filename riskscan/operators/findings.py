@@ -39,6 +39,7 @@ COLUMN_ALIASES = {
     ],
 }
 KNOWN_NAMES = {name for names in COLUMN_ALIASES.values() for name in names}
+NOT_TEXT = "_not_text"  # array column: which string columns hold no text in this row's file
 REJECT_REASONS = ["no_l2", "no_risks", "empty_data", "error", "invalid_format"]
 
 MIN_TEXT_LENGTH = 10
@@ -123,15 +124,21 @@ def assembled_text(df: DataFrame, exclude_label_columns: bool = False) -> Column
         [
             tx.labelled("Finding", tx.first_meaningful([_col(n) for n in titles])),
             tx.labelled("Description", tx.first_meaningful([_col(n) for n in descriptions])),
-            *[tx.residual_part(n) for n in rest],
+            *[F.when(_holds_text(df, n), tx.residual_part(n)) for n in rest],
         ]
     )
 
 
+def _holds_text(df: DataFrame, name: str) -> Column:
+    return ~F.array_contains(NOT_TEXT, F.lit(name)) if NOT_TEXT in df.columns else F.lit(True)
+
+
 def has_text(df: DataFrame, exclude_label_columns: bool = False) -> Column:
     """Whether ``assembled_text`` gives anything, without assembling it."""
-    cells = [_col(n) for group in _text_cells(df, exclude_label_columns) for n in group]
-    return reduce(lambda a, b: a | b, [tx.is_meaningful(c) for c in cells], F.lit(False))
+    titles, descriptions, rest = _text_cells(df, exclude_label_columns)
+    tests = [tx.is_meaningful(_col(n)) for n in titles + descriptions]
+    tests += [_holds_text(df, n) & tx.is_meaningful(_col(n)) for n in rest]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def raw_to_examples(df: DataFrame, exclude_label_columns: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -142,7 +149,7 @@ def raw_to_examples(df: DataFrame, exclude_label_columns: bool = False, keep: li
     """
     keep = keep or []
     body = df.drop(*keep) if keep else df
-    original = F.to_json(F.struct(*[_col(c) for c in body.columns]))
+    original = F.to_json(F.struct(*[_col(c) for c in body.columns if c != NOT_TEXT]))
     return df.where(has_text(body, exclude_label_columns)).select(
         *[_col(c) for c in keep],
         F.lit("risk").alias("type"),

@@ -8,13 +8,12 @@ arrive on a stream, go through the same rules.
 from __future__ import annotations
 
 import os
-from collections import defaultdict
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskscan.functions.text import btrim_u
+from riskscan.functions.text import DESCRIPTION_FIELDS, L2_FIELDS, RISK_FIELDS, TITLE_FIELDS, btrim_u
+from riskscan.operators import findings as fd
 from riskscan.operators.findings import raw_to_examples
 from riskscan.operators.texts import dedupe_texts
 
@@ -62,60 +61,138 @@ def discover_files(spark: SparkSession, folder: str, extensions: tuple[str, ...]
     return files.select("path", extension.alias("extension"), "length")
 
 
-def _csv_layouts(spark: SparkSession, paths: list[str] | str) -> dict[tuple[str, str], list[str]]:
-    """(encoding, header line) -> files.
+SOURCE, NOT_TEXT = "source_file", fd.NOT_TEXT
+INTEGER = r"^[+-]?\d{1,18}$"
+TRUE_WORDS, FALSE_WORDS = ["True", "TRUE", "true"], ["False", "FALSE", "false"]
 
-    One pass over the lines, which splits large files: a line break never lies
-    inside a UTF-8 character, so a file is valid exactly when its lines are.
-    The driver gets one row per file.
-    """
-    glob = f"*.{_any_case('csv')}"
-    lines = spark.read.options(recursiveFileLookup="true", pathGlobFilter=glob).text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"),
+
+def _csv_records(spark: SparkSession, paths: list[str] | str, multi_line: bool) -> DataFrame:
+    """(source_file, _at, _cells): every record of the CSV files, headers too, byte for byte as Latin-1 characters."""
+    files = spark.read.options(recursiveFileLookup="true", pathGlobFilter=f"*.{_any_case('csv')}")
+    commas = files.text(paths).agg(F.max(F.size(F.split("value", ","))).alias("n")).first()["n"]
+    if commas is None:
+        raise ValueError(f"no CSV file with content under {paths}")
+    width = int(commas) + 1  # no record on one line has more cells; one more shows what is over
+    schema = ", ".join(f"_c{i} string" for i in range(width))
+    options = {"multiLine": str(multi_line).lower(), "escape": '"', "encoding": "ISO-8859-1"}
+    raw = files.schema(schema).options(**options).csv(paths)
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return raw.select(
+        F.col("_metadata.file_path").alias(SOURCE), at.alias("_at"), F.array(*[f"_c{i}" for i in range(width)]).alias("_cells")
     )
-    files = lines.groupBy("path").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.min_by(F.base64("value"), "at").alias("header"),
+
+
+def _csv_files(records: DataFrame) -> DataFrame:
+    """One row per file: its header record, where that stands, and whether the file is valid UTF-8."""
+    valid = F.forall("_cells", lambda c: c.isNull() | F.is_valid_utf8(F.encode(c, "ISO-8859-1").cast("string")))
+    return records.groupBy(F.col(SOURCE).alias("_file")).agg(
+        F.min("_at").alias("_first"), F.min_by("_cells", "_at").alias("_header"), F.bool_and(valid).alias("_utf8")
     )
-    layouts = defaultdict(list)
-    for row in files.collect():
-        layouts["UTF-8" if row["utf8"] else "ISO-8859-1", row["header"]].append(row["path"])
-    return layouts
+
+
+def _decoded(cell: Column) -> Column:
+    return F.when(F.col("_utf8"), F.decode(F.encode(cell, "ISO-8859-1"), "UTF-8")).otherwise(cell)
+
+
+def _csv_rows(spark: SparkSession, paths: list[str] | str, multi_line: bool) -> DataFrame:
+    """(source_file, _header, _cells) of the records below the headers, decoded; missing-value words are null."""
+    records = _csv_records(spark, paths, multi_line)
+    rows = records.join(_csv_files(records), F.col(SOURCE) == F.col("_file")).where(F.col("_at") > F.col("_first"))
+    names = F.transform(
+        F.filter("_header", lambda c: c.isNotNull()), lambda c: F.regexp_replace(_decoded(c), "^\ufeff|^\u00ef\u00bb\u00bf", "")
+    )
+    return rows.select(SOURCE, names.alias("_header"), F.transform("_cells", _decoded).alias("_cells"))
+
+
+def _unique_names(names: list[str]) -> dict[str, str]:
+    """Names of the files -> column names.  Spark columns do not differ by case alone: of
+    such names the known field that counts first keeps its own, else the first by spelling; others get a number."""
+    taken: dict[str, int] = {}
+    out = {}
+    known = [*TITLE_FIELDS, *DESCRIPTION_FIELDS, *L2_FIELDS, *RISK_FIELDS]
+    for name in sorted(names, key=lambda n: (known.index(n) if n in known else len(known), n)):
+        low = name.lower()
+        taken[low] = taken.get(low, 0) + 1
+        out[name] = name if taken[low] == 1 else f"{name} ({taken[low]})"
+    return out
 
 
 def read_csv_findings(spark: SparkSession, paths: list[str] | str, infer_numbers: bool = True,
                       multi_line: bool = True) -> DataFrame:
-    """S2. Findings files with a header, as one table over the union of their columns.
+    """S2. Findings files with a header, as one table over the union of their columns, and ``source_file``.
 
     UTF-8 where a file is valid UTF-8, Latin-1 otherwise.  Missing-value words
-    become null.  With ``infer_numbers`` a column whose cells are all numbers is
-    numeric (and so is no text column later).  ``multi_line=False`` lets Spark
-    split files, for data without line breaks inside quotes.
+    become null.  Names count in their exact case.  With ``infer_numbers`` a
+    column's kind is decided file by file: whole numbers, numbers (also whole ones with
+    missing cells), booleans or text.  A column of one kind everywhere has that
+    type.  One whose kind differs is a string, written as its file would have it
+    (``7``, ``7.0``, ``True``), and ``_not_text`` names the columns of a row that
+    are no text in its file, so that they do not enter assembled texts.
+
+    Records with more cells than their header are left to ``csv_rejects``.
+    ``multi_line=False`` lets Spark split files, for data without line breaks
+    inside quotes.  The driver sees the distinct column names, not the files.
     """
-    layouts = _csv_layouts(spark, paths)
-    if not layouts:
-        raise ValueError(f"no CSV file with content under {paths}")
-    tables = []
-    for (encoding, _), files in sorted(layouts.items()):
-        table = spark.read.options(header="true", encoding=encoding, multiLine=str(multi_line).lower(), escape='"').csv(files)
-        cells = [F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in table.columns]
-        tables.append(table.select(*cells))
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    return _numbers_as_numbers(union) if infer_numbers else union
-
-
-def _numbers_as_numbers(df: DataFrame) -> DataFrame:
-    """Turns every column into double whose filled cells are all numbers (one aggregate pass)."""
-    tests = []
-    for c in df.columns:
-        cell = F.col(f"`{c}`")
-        tests.append(F.bool_and(F.when(cell.isNotNull(), F.btrim(cell).try_cast("double").isNotNull())).alias(c))
-    numeric = df.agg(*tests).first().asDict()
-    return df.select(
-        *[(F.btrim(F.col(f"`{c}`")).cast("double") if numeric[c] else F.col(f"`{c}`")).alias(c) for c in df.columns]
+    rows = _csv_rows(spark, paths, multi_line).where(_fits())
+    found = rows.select(F.explode(F.array_distinct("_header")).alias("name")).distinct()
+    names = _unique_names([r["name"] for r in found.collect()])
+    cell = lambda name: F.get(F.col("_cells"), F.array_position("_header", F.lit(name)).cast("int") - 1)
+    present = lambda name: F.array_contains("_header", F.lit(name))
+    table = rows.select(
+        SOURCE, *[F.when(present(n) & ~cell(n).isin(*MISSING_CELLS), cell(n)).alias(c) for n, c in names.items()]
+    )
+    return _typed(table, list(names.values())) if infer_numbers else table
+
+
+def _fits() -> Column:
+    extra = F.slice("_cells", F.size("_header") + 1, F.size("_cells"))
+    return ~F.exists(extra, lambda c: c.isNotNull())
+
+
+def csv_rejects(spark: SparkSession, paths: list[str] | str, multi_line: bool = True) -> DataFrame:
+    """S2. (source_file, cells) of the records that have more cells than their file's header."""
+    rows = _csv_rows(spark, paths, multi_line).where(~_fits())
+    return rows.select(SOURCE, F.filter("_cells", lambda c: c.isNotNull()).alias("cells"))
+
+
+def _typed(table: DataFrame, names: list[str]) -> DataFrame:
+    def kind(name: str) -> Column:
+        """Of one file; null for a column without filled cells."""
+        c = F.btrim(F.col(f"`{name}`"))
+        filled = c.isNotNull()
+        every = lambda test: F.bool_and(F.when(filled, test))
+        some_missing = F.count_if(~filled) > 0
+        return (
+            F.when(F.count_if(filled) == 0, None)
+            .when(every(c.rlike(INTEGER)) & ~some_missing, "int")
+            .when(every(c.try_cast("double").isNotNull()), "float")
+            .when(every(c.isin(*TRUE_WORDS, *FALSE_WORDS)) & ~some_missing, "bool")
+            .otherwise("text")
+        )
+
+    kinds = table.groupBy(F.col(SOURCE).alias("_file")).agg(*[kind(n).alias(n) for n in names])
+    seen = kinds.agg(*[F.sort_array(F.collect_set(f"`{n}`")).alias(n) for n in names]).first().asDict() if names else {}
+    types = {"int": "bigint", "float": "double", "bool": "boolean"}
+    mixed = [n for n in names if len(seen[n]) > 1]
+    plain = {n: F.col(f"`{n}`") for n in names}
+    for n in names:
+        if len(seen[n]) == 1 and seen[n][0] in types:
+            plain[n] = F.btrim(plain[n]).cast(types[seen[n][0]])
+    if not mixed:
+        return table.select(*[c.alias(n) for n, c in plain.items()], SOURCE)
+    marked = table.join(
+        kinds.select("_file", F.struct(*[F.col(f"`{n}`") for n in mixed]).alias("_kinds")), F.col(SOURCE) == F.col("_file")
+    )
+    for n in mixed:
+        c, k = F.btrim(F.col(f"`{n}`")), F.col(f"_kinds.`{n}`")
+        plain[n] = (
+            F.when(k == "int", c.cast("bigint").cast("string")).when(k == "float", c.try_cast("double").cast("string"))
+            .when(k == "bool", F.initcap(c)).otherwise(F.col(f"`{n}`"))
+        )
+    no_text = F.filter(
+        F.array(*[F.when(F.col(f"_kinds.`{n}`") != "text", F.lit(n)) for n in mixed]), lambda n: n.isNotNull()
     )
+    return marked.select(*[c.alias(n) for n, c in plain.items()], SOURCE, no_text.alias(NOT_TEXT))
 
 
 # --------------------------------------------------------------------------
@@ -145,13 +222,13 @@ def load_examples(spark: SparkSession, path: str) -> DataFrame:
     JSON lines.  Raises when there are none."""
     extension = _extension(path)
     if extension == "csv":
-        examples = raw_to_examples(read_csv_findings(spark, path))
+        examples = raw_to_examples(read_csv_findings(spark, path), keep=[SOURCE]).drop(SOURCE)
     elif extension in ("json", "jsonl"):
         examples, _ = read_examples_jsonl(spark, path)
     elif extension:
         raise ValueError(f"cannot tell how to read {path}")
     elif not discover_files(spark, path, ("csv",)).isEmpty():
-        examples = raw_to_examples(read_csv_findings(spark, path))
+        examples = raw_to_examples(read_csv_findings(spark, path), keep=[SOURCE]).drop(SOURCE)
     else:
         examples, _ = read_examples_jsonl(spark, path)
     if examples.isEmpty():
@@ -211,7 +288,7 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     elif extension == "json":
         texts = texts_from_json(spark.read.text(path, wholetext=True))
     elif extension == "csv":
-        texts = texts_from_table(read_csv_findings(spark, path, infer_numbers=False))
+        texts = texts_from_table(read_csv_findings(spark, path, infer_numbers=False).drop(SOURCE))
     else:
         texts = texts_from_lines(spark.read.text(path))
     return dedupe_texts(texts)

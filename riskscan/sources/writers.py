@@ -41,14 +41,12 @@ def write_examples_jsonl(examples: DataFrame, out: str, raw: DataFrame | None =
     return path
 
 
-def write_extraction_summary(examples: DataFrame, out: str, n_files: int, n_raw: int, mode: str = "errorifexists") -> str:
-    """S7. One JSON row of counts."""
+def write_extraction_summary(examples: DataFrame, out: str, raw: DataFrame, mode: str = "errorifexists") -> str:
+    """S7. One JSON row of counts; files and raw rows are counted in ``raw``, by its ``source_file`` where it has one."""
     path = f"{out}/extraction_summary"
-    summary = extraction_summary(examples).select(
-        F.lit(n_files).cast("bigint").alias("total_files_processed"),
-        F.lit(n_raw).cast("bigint").alias("total_raw_entries"),
-        "*",
-    )
+    files = F.count_distinct("source_file") if "source_file" in raw.columns else F.lit(1)
+    counts = raw.agg(files.cast("bigint").alias("total_files_processed"), F.count("*").alias("total_raw_entries"))
+    summary = counts.crossJoin(extraction_summary(examples))  # one row each
     summary.write.mode(mode).json(path)
     return path
 

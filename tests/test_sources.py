@@ -15,7 +15,7 @@ def test_csv_encodings_and_layouts(spark, tmp_path):
     assert rd.discover_files(spark, str(tmp_path)).count() == 2
     rows = {r["Title"]: r for r in rd.read_csv_findings(spark, str(tmp_path)).collect()}
     assert set(rows) == {"Größe\nzwei", "plain", "für"}
-    assert rows["Größe\nzwei"]["Score"] == 5.0 and rows["Größe\nzwei"]["Note"] is None
+    assert rows["Größe\nzwei"]["Score"] == 5 and rows["Größe\nzwei"]["Note"] is None
     assert rows["plain"]["Note"] == 'say "hi"' and rows["für"]["Other"] == "x"
 
 
@@ -52,3 +52,45 @@ def test_a_raw_csv_file_is_extracted(spark, tmp_path):
     with pytest.raises(ValueError):
         (tmp_path / "e.jsonl").write_text("\n")
         rd.load_examples(spark, str(tmp_path / "e.jsonl"))
+
+
+def write_csv(folder, **files):
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+def test_whole_numbers_stay_whole_and_reach_their_label(spark, tmp_path):
+    folder = write_csv(tmp_path, a="Title,L2,Score\nOpen port here,7,1.5\nWeak disk keys,5,2\n")
+    read = rd.read_csv_findings(spark, folder)
+    assert {"L2": "long", "Score": "double"}.items() <= {f.name: f.dataType.typeName() for f in read.schema}.items()
+    labels = {r["raw_l2"]: r["l2_category"] for r in fd.label_findings(fd.map_columns(read.drop("source_file"))).collect()}
+    assert set(map(str, labels)) == {"7", "5"} and all(v.startswith(f"{k}. ") for k, v in labels.items())
+    assert {r["l2_category"] for r in rd.load_examples(spark, folder).collect()} == {"7", "5"}
+
+
+def test_kinds_are_decided_file_by_file(spark, tmp_path):
+    folder = write_csv(
+        tmp_path, a="Title,Ref,Flag,L2\nOpen port here,12.55,True,7\nWeak disk keys,3,False,5\n",
+        b="Title,Ref,L2\nOld certificate,ticket 77,\nNo backups made,ticket 78,4\n",
+    )
+    read = rd.read_csv_findings(spark, folder)
+    assert read.schema["Flag"].dataType.typeName() == "boolean"
+    rows = {r["Title"]: r for r in read.collect()}
+    assert (rows["Open port here"]["Ref"], rows["Open port here"]["L2"]) == ("12.55", "7")
+    assert (rows["No backups made"]["Ref"], rows["No backups made"]["L2"]) == ("ticket 78", "4.0")
+    assert {r["source_file"].rsplit("/", 1)[1] for r in rows.values()} == {"a.csv", "b.csv"}
+    texts = {r["text"] for r in fd.raw_to_examples(read, keep=["source_file"]).collect()}
+    assert "Finding: Open port here" in texts
+    assert any("Ref: ticket 77" in t for t in texts) and not any("12.55" in t or "Flag" in t for t in texts)
+
+
+def test_case_of_names_and_rejected_records(spark, tmp_path):
+    folder = write_csv(
+        tmp_path, a="Title,TITLE\nOpen port here,other\n", b="title\nlower case title\n",
+        c="Title,L2\nWeak disk keys,x,EXTRA CELL\nGood row here,y\n",
+    )
+    read = rd.read_csv_findings(spark, folder)
+    assert sorted(c for c in read.columns if c.lower().startswith("title")) == ["TITLE (2)", "Title", "title (3)"]
+    assert read.count() == 3
+    assert [r["cells"] for r in rd.csv_rejects(spark, folder).collect()] == [["Weak disk keys", "x", "EXTRA CELL"]]
