@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskscan.llm.common import by_range
-from riskscan.llm.encoding import encoder
+from riskscan.llm.encoding import MEMO_PARTS, encoder
 
 SENTENCE_PENALTY, INSIDE_PENALTY, SEQUENCE_COST = 4, 64, 16
 POWERS = (64, 128, 256, 512)
@@ -125,7 +125,7 @@ def pack_block(docs: list[tuple[int | None, bytes]], is_end: np.ndarray, capacit
 
 def pack(
     docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 1024, spaced: bool = True,
-    block_ids: int = 1 << 19,
+    block_ids: int = 1 << 19, memo_parts: int = MEMO_PARTS,
 ) -> DataFrame:
     """One row per piece of a document in a sequence, with its ids (little-endian unsigned 32-bit)."""
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -137,7 +137,7 @@ def pack(
     ])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, is_end = encoder(tokenizer, spaced).encode, sentence_ends(tokenizer)
+        encode, is_end = encoder(tokenizer, spaced, memo_parts).encode, sentence_ends(tokenizer)
         block, size, current, used = [], 0, None, 0
 
         def flush() -> pa.RecordBatch:
