@@ -1,7 +1,8 @@
 """Prompts and chat messages (G1-G4, G6, G7) as column expressions.
 
-The taxonomy renderings follow a fixed layout; the wording of the prompts is
-this package's own.  Answers are JSON with one list entry per line.
+The layout of the taxonomy (``render_taxonomy``) and the sentences of KIND_ANSWERS
+are fixed values; the other wording is this package's own.  Answers are JSON with
+one list entry per line.
 """
 
 from __future__ import annotations
@@ -104,6 +105,7 @@ DDL_SYSTEM = (
 )
 DDL_QUESTION = "Find the personal data the table of this statement will hold.\n\nDDL Statement:\n"
 KIND_QUESTION = "\n\nIs this a security risk finding, a DDL statement for PII analysis, or text with potential PII?"
+# What the assistant says first, by kind.
 KIND_ANSWERS = {
     "risk": "This is a security risk finding.",
     "pii": "This is text with potential PII.",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,13 +63,41 @@ def extract_json(response: Column) -> Column:
     return F.nullif(F.regexp_extract(F.replace(response, F.lit("\n"), F.lit(" ")), r"\{[^}]*\}", 0), F.lit(""))
 
 
+def _must_hold(pattern: str) -> str:
+    """The plain characters the pattern starts with, which a text it matches must hold; empty without any."""
+    start = re.match(r"[a-z0-9]+|-|:", pattern)
+    if start is None:
+        return ""
+    return start[0][:-1] if pattern[start.end():start.end() + 1] in ("?", "*") else start[0]
+
+
+def _guarded(view: Column, pattern: str, found: Column, nothing: Column) -> Column:
+    """``found`` where the text can match at all; a plain search is cheaper than the pattern."""
+    fixed = _must_hold(pattern)
+    return F.when(F.contains(view["low"], F.lit(fixed)), found).otherwise(nothing) if fixed else found
+
+
+def _with_low(text: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of struct<text, low>; upper case first, for letters that match others only by their capital."""
+    return bind(F.struct(text.alias("text"), F.lower(F.upper(text)).alias("low")), fn)
+
+
 def _first_match(text: Column, patterns: list[str]) -> Column:
-    return F.coalesce(*[F.nullif(F.regexp_extract(text, FLAGS + p, 1), F.lit("")) for p in patterns])
+    def first(view: Column) -> Column:
+        hits = [F.nullif(F.regexp_extract(view["text"], FLAGS + p, 1), F.lit("")) for p in patterns]
+        return F.coalesce(*[_guarded(view, p, hit, F.lit(None)) for p, hit in zip(patterns, hits)])
+
+    return F.when(text.isNotNull(), _with_low(text, first))
 
 
 def _listed_items(text: Column, patterns: list[str], min_length: int) -> Column:
     """Everything the patterns capture, cut at commas, without blanks, quotes and short pieces."""
-    matches = F.concat(*[F.regexp_extract_all(text, F.lit(FLAGS + p), F.lit(1)) for p in patterns])
+
+    def every(view: Column) -> Column:
+        hits = [F.regexp_extract_all(view["text"], F.lit(FLAGS + p), F.lit(1)) for p in patterns]
+        return F.concat(*[_guarded(view, p, hit, str_array([])) for p, hit in zip(patterns, hits)])
+
+    matches = F.when(text.isNotNull(), _with_low(text, every))
     pieces = F.flatten(F.transform(matches, lambda m: F.split(m, ",")))
     bare = F.transform(pieces, lambda p: F.btrim(btrim_u(p), F.lit("\"'")))
     return F.filter(bare, lambda p: F.length(p) >= min_length)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from riskscan.functions.prompts import MESSAGE_TYPE, ddl_chat, inference_prompt, pii_chat, risk_chat
@@ -57,31 +57,37 @@ def split_examples(df: DataFrame, id_col: str, train: float = 0.9, seed: int = 0
     """G8. Adds ``split`` (train / eval) in a repeatable random order of the unique ``id_col``.
 
     The plain form decides each row by its hash: no shuffle, sizes correct on
-    average.  ``exact=True`` puts exactly floor(train * n) rows into train: rows
-    are counted by the leading bits of their hash, the 65,536 counts tell which
-    prefixes lie below the cut, and only the one prefix that holds the cut is
-    ranked row by row (one row in 65,536).
+    average.  ``exact=True`` puts exactly floor(train * n) rows into train.  Two
+    scans of the ids alone find the last row that goes there: the first counts rows by
+    the leading bits of their hash, which tells the one prefix that holds the cut; the
+    second orders the hashes of that prefix (one row in 65,536) up to the cut.  Then
+    each row is compared with that one, where it lies: nothing else is moved.
     """
     order = F.xxhash64(F.col(id_col), F.lit(seed))
     if not exact:
         return df.withColumn("split", F.when(F.pmod(order, F.lit(10_000)) < int(train * 10_000), "train").otherwise("eval"))
-    prefix = F.shiftrightunsigned(order, 64 - RANK_BITS)
-    keyed = df.withColumn("_order", order).withColumn("_prefix", prefix)
-    counts = df.select(prefix.alias("_prefix")).groupBy("_prefix").agg(F.count("*").alias("_n"))
-    upto = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cuts = counts.select(
-        "_prefix",
-        (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(upto).alias("_after"),
-        F.floor(F.sum("_n").over(everything) * train).alias("_cut"),
-    )
-    placed = keyed.join(F.broadcast(cuts), "_prefix")  # at most 2^16 rows
-    below, above = F.col("_after") <= F.col("_cut"), F.col("_before") >= F.col("_cut")
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    clear = placed.where(below | above).select(*columns, F.when(below, "train").otherwise("eval").alias("split"))
-    rank = F.row_number().over(Window.partitionBy("_prefix").orderBy("_order", id_col)) + F.col("_before")
-    edge = placed.where(~(below | above)).withColumn("_rank", rank)
-    return clear.unionAll(
-        edge.select(*columns, F.when(F.col("_rank") <= F.col("_cut"), "train").otherwise("eval").alias("split"))
-    )
+    last = _last_in_train(df.select(order.alias("_order"), F.col(id_col).alias("_id")), train)
+    if last is None:
+        return df.withColumn("split", F.lit("eval"))
+    edge = F.lit(last["_order"])
+    same = F.lit(last["_id"]).cast(df.schema[id_col].dataType)
+    # the order of hashes as unsigned numbers is that of the numbers with their first bit flipped
+    flip = lambda c: c.bitwiseXOR(F.lit(-(1 << 63)))
+    before = (flip(order) < flip(edge)) | ((order == edge) & (F.col(id_col) <= same))
+    return df.withColumn("split", F.when(before, "train").otherwise("eval"))
+
+
+def _last_in_train(ids: DataFrame, train: float) -> Row | None:
+    """The last of floor(train * n) rows (_order, _id) by unsigned hash, then id."""
+    prefix = F.shiftrightunsigned("_order", 64 - RANK_BITS)
+    # at most 2^16 rows
+    counts = sorted(tuple(r) for r in ids.groupBy(prefix.alias("_prefix")).agg(F.count("*")).collect())
+    wanted, before = int(train * sum(n for _, n in counts)), 0
+    if not wanted:
+        return None
+    for holds, n in counts:
+        if before + n >= wanted:
+            break
+        before += n
+    inside = ids.where(prefix == holds).orderBy("_order", "_id")  # within a prefix, signed order is unsigned order
+    return inside.offset(wanted - before - 1).limit(1).first()

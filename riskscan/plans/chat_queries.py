@@ -163,12 +163,13 @@ def g7(spark, sf):
 
 @query(
     "g8_split_exact",
-    """SELECT 'train' AS split, CAST(floor(count(*) * 0.9) AS BIGINT) AS n FROM orders
-UNION ALL SELECT 'eval', CAST(count(*) - floor(count(*) * 0.9) AS BIGINT) FROM orders""",
+    """SELECT 'train' AS split, CAST(floor(count(*) * 0.9) AS BIGINT) AS n, CAST(0 AS BIGINT) AS in_both FROM orders
+UNION ALL SELECT 'eval', CAST(count(*) - floor(count(*) * 0.9) AS BIGINT), 0 FROM orders""",
 )
 def g8(spark, sf):
     split = ch.split_examples(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", exact=True)
-    return split.groupBy("split").agg(F.count("*").alias("n"))
+    by_id = split.groupBy("o_orderkey").agg(F.min("split").alias("split"), F.max("split").alias("other"))
+    return by_id.groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("split") != F.col("other")).alias("in_both"))
 
 
 @query("g8_split_hash", "SELECT o_orderkey FROM orders")

@@ -1,9 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from riskscan.functions.prompts import render_taxonomy
 from riskscan.operators import chat as ch
 from riskscan.operators import findings as fd
 from riskscan.operators import report as rp
+from riskscan.taxonomy import DEFAULT
 
 
 def test_map_columns(spark):
@@ -50,6 +52,21 @@ def test_exact_split(spark, n):
     sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     assert sizes.get("train", 0) == int(n * 0.9) and sum(sizes.values()) == n
     assert split.select("id").distinct().count() == n
+    hashes = dict(spark.range(n).select("id", F.xxhash64("id", F.lit(0))).collect())
+    order = sorted(hashes, key=lambda i: hashes[i] & (2**64 - 1))
+    assert {r["id"] for r in split.where("split = 'train'").collect()} == set(order[:int(n * 0.9)])
+
+
+def test_exact_split_moves_no_rows(spark):
+    plan = ch.split_examples(spark.range(500), "id", exact=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_taxonomy_rendering_lists_every_entry():
+    whole = render_taxonomy("all", DEFAULT).split("\n")
+    assert all(f"   - {r}" in whole for risks in DEFAULT.macro_risks.values() for r in risks)
+    assert all(label in whole for label in DEFAULT.l2_labels) and all(f"- {t}" in whole for t in DEFAULT.pii_types)
+    assert render_taxonomy("risk").startswith("L2 Risk Categories:\n" + DEFAULT.l2_labels[0])
 
 
 def test_unknown_types_have_no_chat(spark):
