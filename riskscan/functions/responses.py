@@ -54,6 +54,8 @@ TYPE_PATTERNS = [
 ]
 
 FLAGS = "(?iU)"
+# Long s, dotted capital i, dotless i and the Kelvin sign, and the letters they equal when case is ignored.
+ALIKE = ("\u017f\u0130\u0131\u212a", "siik")
 MAX_RISKS = 5
 
 
@@ -78,8 +80,9 @@ def _guarded(view: Column, pattern: str, found: Column, nothing: Column) -> Colu
 
 
 def _with_low(text: Column, fn: Callable[[Column], Column]) -> Column:
-    """``fn`` of struct<text, low>; upper case first, for letters that match others only by their capital."""
-    return bind(F.struct(text.alias("text"), F.lower(F.upper(text)).alias("low")), fn)
+    """``fn`` of struct<text, low>; patterns without case also match the letters of ALIKE."""
+    low = F.lower(F.translate(text, *ALIKE))
+    return bind(F.struct(text.alias("text"), low.alias("low")), fn)
 
 
 def _first_match(text: Column, patterns: list[str]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,13 +195,13 @@ def detect_text_columns(df: DataFrame, order_by: str | None = None) -> list[str]
     if not candidates:
         return []
 
-    def sample(name: str) -> DataFrame:
-        filled = df.where(_col(name).isNotNull())
-        ordered = filled.orderBy(_col(order_by)) if order_by else filled
-        return ordered.limit(SAMPLE_ROWS).select(F.lit(name).alias("name"), F.length(_col(name)).alias("n"))
-
-    samples = [sample(c) for c in candidates]
-    shortest = reduce(DataFrame.unionAll, samples).groupBy("name").agg(F.min("n").alias("n")).collect()
+    # one scan; each task passes on ten cells of a column at most
+    lengths = [F.struct(F.lit(c).alias("name"), F.length(_col(c)).alias("n")) for c in candidates]
+    order = _col(order_by) if order_by else F.monotonically_increasing_id()
+    cells = df.select(order.alias("_at"), F.explode(F.array(*lengths)).alias("_cell")).select("_at", "_cell.*")
+    place = F.row_number().over(Window.partitionBy("name").orderBy("_at"))
+    first = cells.where("n is not null").withColumn("_place", place).where(F.col("_place") <= SAMPLE_ROWS)
+    shortest = first.groupBy("name").agg(F.min("n").alias("n")).collect()
     long_enough = {r["name"] for r in shortest if r["n"] > MIN_TEXT_LENGTH}
     return [c for c in candidates if c in long_enough]
 

@@ -286,6 +286,8 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     if extension == "jsonl":
         texts = texts_from_jsonl(spark.read.text(path))
     elif extension == "json":
+        # An array may hold entries that are no objects, for which Spark's JSON reader drops the whole
+        # file, so each file is one value; larger inputs belong in JSON lines.
         texts = texts_from_json(spark.read.text(path, wholetext=True))
     elif extension == "csv":
         texts = texts_from_table(read_csv_findings(spark, path, infer_numbers=False).drop(SOURCE))

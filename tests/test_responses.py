@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from riskscan.functions import responses as rs
 from riskscan.operators import responses as ro
 
 CASES = [
@@ -42,3 +43,14 @@ def test_filter_on_a_result_keeps_the_plan_small(spark):
     plain = ro.flatten_results(ro.parse_responses(df))
     size = [len(d._jdf.queryExecution().optimizedPlan().toString()) for d in (out, plain)]
     assert size[0] < 1.5 * size[1]
+
+
+def test_patterns_run_where_their_fixed_part_occurs(spark):
+    fixed = [rs._must_hold(p) for p in rs.RISK_PATTERNS]
+    assert fixed == ["macro", "risk", "risk", "risk", "-", "", "issue", "include", "involvin", "with"]
+    texts = ["riſk: Data Loss", "rİsk: Data Loss", "RıSK: Data Loss", "RISK: Data Loss", "no part of it", "issue: leaks", "with: Keys", "- Bullet", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.concat(*[F.regexp_extract_all("t", F.lit(rs.FLAGS + p), F.lit(1)) for p in rs.RISK_PATTERNS])
+    trimmed = F.filter(F.transform(plain, lambda m: F.btrim(m)), lambda m: F.length(m) >= 4)
+    for row in df.select(rs.risks_in_text(F.col("t")).alias("found"), trimmed.alias("plain")).collect():
+        assert row["found"] == row["plain"]
