@@ -2,11 +2,13 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskscan.functions import matching as mt
 from riskscan.functions import similarity as sim
 from riskscan.operators import privacy as pv
+from riskscan.plans import load
 from riskscan.taxonomy import DEFAULT
 
 
@@ -99,3 +101,35 @@ def test_missing_privacy_cells_match_nothing(spark):
     rows = pv.label_privacy(df).collect()
     assert rows[0]["pii_types"] == ["Email"] and rows[0]["text"] == "Database Column: c"
     assert rows[1]["pii_types"] == [] and not rows[1]["mapped"]
+
+
+@pytest.mark.parametrize("name,calls", [
+    ("f5_normalise_l2", 1), ("p13_label_findings", 2), ("f10_match_pii_types", 1), ("a6_top_l2_values", 0),
+    ("a6_top_risk_values", 0),
+])
+def test_the_scorer_is_called_once_per_label(spark, name, calls):
+    df = load().QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == calls
+
+
+def test_a_length_bound_needs_a_high_cutoff():
+    with pytest.raises(ValueError):
+        mt.within_reach(None, ["name"], 60.0)
+
+
+def test_scores_from_a_floor_on_are_exact():
+    rng = random.Random(7)
+    names = [sim.normalise(n) for n in DEFAULT.all_risks]
+    words = sorted({w for n in names for w in n.split()})
+    for _ in range(2000):
+        a = " ".join(rng.choice(words) for _ in range(rng.randint(1, 12)))
+        a = sim.normalise("".join(c if rng.random() > 0.1 else rng.choice("abc ") for c in a))
+        b, floor = rng.choice(names), rng.choice([55.0, 65.0, 75.0])
+        whole, cut = sim.weighted(a, b), sim.weighted(a, b, floor)
+        assert cut == whole if whole >= floor else cut < floor
+        size = len(min(a, b, key=len))
+        longer, shorter = (a, b) if len(a) >= len(b) else (b, a)
+        windows = [longer[max(s, 0):s + size] for s in range(1 - size, len(longer))]
+        if len(a) != len(b) and size:
+            assert sim.partial(a, b) == max(sim.ratio(shorter, w) for w in windows)
