@@ -1,18 +1,17 @@
-"""Line deduplication by winnowing over line hashes.
-
-A gram is a line and the lines after it that together hold ``min_words`` words;
-nothing shorter counts as a repetition.  Of the grams that start within ``slack``
-words of each other, the one with the smallest hash is selected, and so a run of
-lines that repeats is found wherever it is ``min_words`` plus ``slack`` words long, to
-the line; a line with ``min_words`` words is always selected itself.  Selected grams
-are joined with the first occurrence of the same gram, in order of doc_id and
-line.  Each match is extended both ways while the lines beside it agree (up to
-``REACH`` lines; within that distance a longer run has another selected gram),
-and the later occurrence is deleted.  The first occurrence stays.
+"""Line deduplication by hashes of grams of lines.
+
+A forward gram is a line and as many lines after it as together hold ``min_words``
+words, a backward gram the same with the lines before it; nothing shorter counts as a
+repetition.  Every gram is looked at, none is left out by selection: each line of a
+repeated run of ``min_words`` words or more lies in a forward or backward gram inside
+the run, so runs are found from ``min_words`` on and to the line, whatever stands
+around them.  Each gram is joined with the first occurrence of the same gram, in order
+of doc_id and line, and the lines of later occurrences are deleted.  The first
+occurrence stays.
 
 Every occurrence is joined with one first occurrence only, never with all others,
-so a passage that a third of all documents share costs one row each.  DataFrame
-functions only.
+so a passage that a third of all documents share costs one row for each gram.
+DataFrame functions only.
 
 Defined results: a blank line weighs one word; lines are compared without outer spaces;
 a null text stays null; a text whose lines all go is empty; rows
@@ -29,8 +28,6 @@ from pyspark.sql import functions as F
 
 from riskscan.llm.common import WORD
 
-REACH = 8
-
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """(id, text hash, row, line number, line hash, words): one row per line."""
@@ -48,58 +45,34 @@ def line_rows(docs: DataFrame) -> DataFrame:
     ).select("_id", "_hash", "_spot", "_n", F.col("_line.h").alias("_h"), F.col("_line.w").cast("long").alias("_w"))
 
 
-def selected_grams(docs: DataFrame, min_words: int, slack: int) -> DataFrame:
-    """The selected grams: document, hash, first and last line, and the line hashes before and after."""
-    by_row = Window.partitionBy("_spot")
-    in_order = by_row.orderBy("_n")
-    before = F.sum("_w").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_w")
-    by_words = by_row.orderBy("_s")
-    covered = by_words.rangeBetween(0, min_words - 1)
-    grams = (
-        line_rows(docs)
-        .withColumn("_s", before)
-        .withColumn("_before", F.collect_list("_h").over(in_order.rowsBetween(-REACH, -1)))
-        .withColumn("_after", F.collect_list("_h").over(in_order.rowsBetween(1, REACH)))
-        .withColumn("_words", F.sum("_w").over(covered))
-        .withColumn("_gram", F.xxhash64(F.collect_list("_h").over(covered)))
-        .withColumn("_end", F.last(F.struct(F.col("_n").alias("n"), F.col("_after").alias("after"))).over(covered))
-    )
-    whole = F.when(F.col("_words") >= min_words, F.struct(
-        F.col("_gram").alias("gram"), F.col("_n").alias("first"), F.col("_end.n").alias("last"),
-        F.col("_before").alias("before"), F.col("_end.after").alias("after"),
-    ))
-    least = F.min("_whole").over(by_words.rangeBetween(0, slack))
-    return (
-        grams.withColumn("_whole", whole).withColumn("_least", least)
-        .withColumn("_last_chosen", F.lag("_least.first").over(by_words))
-        .where("_least is not null and (_last_chosen is null or _last_chosen <> _least.first)")
-        .select("_id", "_hash", "_least.gram", "_least.first", "_least.last", "_least.before", "_least.after")
-    )
+def grams_of_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """The grams: document, hash, first and last line; a backward gram only where no forward gram has the same lines."""
+    in_order = Window.partitionBy("_spot").orderBy("_n")
+    end = F.sum("_w").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    after = Window.partitionBy("_spot").orderBy("_start").rangeBetween(0, min_words - 1)
+    before = Window.partitionBy("_spot").orderBy("_end").rangeBetween(1 - min_words, 0)
 
+    def gram(covered: Window, least: Column) -> Column:
+        return F.when(F.sum("_w").over(covered) >= least, F.struct(
+            F.xxhash64(F.collect_list("_h").over(covered)).alias("gram"),
+            F.min("_n").over(covered).alias("first"), F.max("_n").over(covered).alias("last"),
+        ))
 
-def agreeing(a: Column, b: Column) -> Column:
-    """How many elements two arrays share from their start on."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    stop = F.array_position(same, F.lit(False))
-    return F.when(stop > 0, stop - 1).otherwise(F.size(same)).cast("int")
+    # without its last line, a backward gram of its own still holds min_words: else the forward gram from its first line is the same
+    lines = line_rows(docs).withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_w"))
+    both = lines.withColumn("_on", gram(after, F.lit(min_words))).withColumn("_back", gram(before, F.col("_w") + min_words))
+    return both.select("_id", "_hash", F.inline(F.array_compact(F.array("_on", "_back"))))
 
 
-def repeated_runs(docs: DataFrame, min_words: int = 50, slack: int = 8) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """(_id, _hash, runs): the runs of lines (first, last) that each document repeats from before."""
-    chosen = selected_grams(docs, min_words, slack)
-    place = F.struct("_id", "_hash", "first", "last", "before", "after")
-    firsts = chosen.groupBy(F.col("gram").alias("_gram")).agg(
-        F.min(place).alias("_f"), F.count("*").alias("_count")
+    grams = grams_of_lines(docs, min_words)
+    firsts = grams.groupBy(F.col("gram").alias("_gram")).agg(
+        F.min(F.struct("_id", "_hash", "first")).alias("_f"), F.count("*").alias("_count")
     ).where("_count > 1").select("_gram", "_f")
-    own = F.struct("_id", "_hash", "first")
-    matches = chosen.join(firsts, F.col("gram") == F.col("_gram")).where(
-        ~own.eqNullSafe(F.struct(F.col("_f._id"), F.col("_f._hash"), F.col("_f.first")))
-    )
-    spans = matches.select(
-        "_id", "_hash",
-        (F.col("first") - agreeing(F.reverse("before"), F.reverse("_f.before"))).alias("first"),
-        (F.col("last") + agreeing(F.col("after"), F.col("_f.after"))).alias("last"),
-    )
+    spans = grams.join(firsts, F.col("gram") == F.col("_gram")).where(
+        ~F.struct("_id", "_hash", "first").eqNullSafe(F.col("_f"))
+    ).select("_id", "_hash", "first", "last")
     in_doc = Window.partitionBy("_id", "_hash").orderBy("first", "last")
     reached = F.max("last").over(in_doc.rowsBetween(Window.unboundedPreceding, -1))
     islands = spans.withColumn("_new", F.coalesce((F.col("first") > reached + 1).cast("int"), F.lit(1))).withColumn(
@@ -109,9 +82,9 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, slack: int = 8) -> DataF
     return merged.groupBy("_id", "_hash").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
 
-def with_runs(docs: DataFrame, min_words: int = 50, slack: int = 8) -> DataFrame:
+def with_runs(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """The documents as they are, and ``_runs`` (first, last) to delete, null if there are none."""
-    runs = repeated_runs(docs, min_words, slack).select(F.col("_id").alias("_rid"), F.col("_hash").alias("_rhash"), F.col("runs").alias("_runs"))
+    runs = repeated_runs(docs, min_words).select(F.col("_id").alias("_rid"), F.col("_hash").alias("_rhash"), F.col("runs").alias("_runs"))
     return docs.join(
         runs, F.col("doc_id").eqNullSafe(F.col("_rid")) & (F.xxhash64("text") == F.col("_rhash")), "left"
     ).select(*docs.columns, "_runs")
@@ -125,9 +98,9 @@ def kept_text(text: Column, runs: Column) -> Column:
     )
 
 
-def without_repeats(docs: DataFrame, min_words: int = 50, slack: int = 8) -> DataFrame:
+def without_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """The documents without repeated runs, with the columns they had; n_chars follows the text."""
-    found = with_runs(docs, min_words, slack).withColumn("text", kept_text(F.col("text"), F.col("_runs"))).drop("_runs")
+    found = with_runs(docs, min_words).withColumn("text", kept_text(F.col("text"), F.col("_runs"))).drop("_runs")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         found = found.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))

@@ -480,6 +480,33 @@ def test_long_runs_are_always_found(spark):
         assert got[i] == (text if i % 2 == 0 else "\n".join([lines[0], *lines[-2:]]))
 
 
+def test_runs_of_fifty_words_on_are_found_whole(spark):
+    rng = random.Random(6)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    cut = lambda n, size: [line(min(size, n - at)) for at in range(0, n, size)]
+    rows, want = [], {}
+
+    def add(run, whole=True):
+        around, i = [cut(24, 4) for _ in range(4)], len(rows)
+        rows.extend([(i, "\n".join([*around[0], *run, *around[1]])), (i + 1, "\n".join([*around[2], *run, *around[3]]))])
+        want.update({i: rows[i][1], i + 1: "\n".join([*around[2], *around[3]]) if whole else rows[i + 1][1]})
+
+    for n in [49, *range(50, 59)] * 3:
+        for size in (1, 3, 4, 8):
+            add(cut(n, size), n >= 50)
+    add([line(60), *cut(40, 2)])  # short lines behind a long one
+    add([*cut(40, 2), line(60)])
+    add([*cut(20, 2), line(20), *cut(20, 2)])
+    # the first occurrence of a shorter part leads to no run, the whole run still goes
+    run = cut(60, 4)
+    rows[:0] = [(-1, "\n".join([*cut(20, 4), *run[2:13], *cut(20, 4)]))]
+    want[-1] = rows[0][1]
+    around = cut(20, 4)
+    rows += [(9000, "\n".join(run)), (9001, "\n".join([*around, *run]))]
+    want |= {9000: rows[-2][1], 9001: "\n".join(around)}
+    assert dedup(documents(spark, [(i, t, "en", "a") for i, t in rows])) == want
+
+
 def test_lines_on_odd_rows(odd, empty):
     rows = linededup.without_repeats(odd).collect()
     assert len(rows) == odd.count() and linededup.without_repeats(odd).columns == odd.columns
