@@ -172,7 +172,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, half: int = 2) -> DataFrame
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     prints = written(fingerprints(docs, words), "simhash")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("_least")), "simhash-classes")
-    roots = connected(near_links(classes.select("fp"), half))
+    return grouped(prints, near_links(classes.select("fp"), half), classes)
+
+
+def grouped(prints: DataFrame, links: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """doc_id, fingerprint and component_id of every print, by links between fingerprints."""
+    if classes is None:
+        classes = prints.groupBy("fp").agg(F.min("doc_id").alias("_least"))
+    roots = connected(links)
     grouped = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "_least", F.coalesce("root", "fp").alias("_root")
     )
@@ -188,7 +195,11 @@ def one_of_each(docs: DataFrame, words: int = 4, half: int = 2) -> DataFrame:
 
     Rows with a null doc_id stay only where their component has no id, once for each text.
     """
-    groups = near_duplicates(docs, words, half)
+    return stay(docs, near_duplicates(docs, words, half))
+
+
+def stay(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The documents that stay, one for each component."""
     stays = groups.select(F.col("component_id").alias("_stays")).distinct()
     kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
     named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])

@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 import xxhash
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from riskscan.llm import (
-    chat, encoding, iblt, langid, linededup, mixing, packing, simhash, tokenfile, topk, urls,
+    chat, encoding, iblt, langid, linededup, mixing, packing, resemblance, simhash, tokenfile, topk, urls,
 )
 from riskscan.llm.common import fresh_path, tokenizer_file
 from riskscan.llm.components import connected
@@ -147,6 +148,48 @@ def test_near_duplicates_on_odd_rows(odd, empty):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == [1, 3, 6, 7, 8]
 
 
+def test_near_dedup_stage_finds_four_fifths_of_the_shingles(spark):
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = []
+    for _ in range(40):  # copies with 1 to 12 words of 200 changed: five-word similarity from 0.95 to 0.54
+        base = [word() for _ in range(200)]
+        for changed in [0, *rng.sample(range(1, 13), 3)]:
+            copy = base[:]
+            for at in rng.sample(range(200), changed):
+                copy[at] = word()
+            texts.append(" ".join(copy))
+    base = [word() for _ in range(100)]
+    texts += [" ".join([*base, *(word() for _ in range(rng.randint(1, 60)))]) for _ in range(60)]  # one large mixed group
+    texts += ["only three words", "Only  THREE words", "four words are here", "", None]
+    rows = list(enumerate(texts))
+    found = lambda t: {tuple((t or "").lower().split()[j:j + 5]) for j in range(max(1, len((t or "").split()) - 4))}
+    sets = {i: found(t) for i, t in rows}
+    alike = {(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert not [(a, b) for a, b in alike if a in kept and b in kept]
+    prints = {i: simhash.fingerprint(t) & (2**64 - 1) for i, t in rows}
+    linked = alike | {(a, b) for a in sets for b in sets if a < b and (prints[a] ^ prints[b]).bit_count() <= 4}
+    assert set(sets) - kept <= {b for _, b in linked} | {a for a, _ in linked}
+    assert {i for i in sets if not any(i in pair for pair in linked)} <= kept
+    for i in set(sets) - kept:  # what goes is linked, over others, to one that stays
+        group, open_ = {i}, [i]
+        while open_:
+            one = open_.pop()
+            more = {a + b - one for a, b in linked if one in (a, b)} - group
+            group |= more
+            open_ += more
+        assert min(group) in kept
+
+
+def test_near_dedup_stage_on_odd_rows(odd, empty):
+    kept = resemblance.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == [1, 3, 6, 7, 8]
+    assert resemblance.one_of_each(empty).count() == 0
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = connected(links).agg(F.count("*"), F.count_distinct("root")).first()
