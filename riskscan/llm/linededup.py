@@ -13,6 +13,9 @@ Every occurrence is joined with one first occurrence only, never with all others
 so a passage that a third of all documents share costs one row for each gram.
 DataFrame functions only.
 
+Lines are the units: of a passage that begins or ends inside a line only the whole
+lines count, and only if they hold ``min_words`` words.
+
 Defined results: a blank line weighs one word; lines are compared without outer spaces;
 a null text stays null; a text whose lines all go is empty; rows
 that share doc_id and text are one document and are treated alike; rows that share
