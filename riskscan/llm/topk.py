@@ -1,13 +1,13 @@
 """Exact top-k inner products by MaxScore over shards of an inverted index.
 
-A vector is a bag of signed terms: each dimension has a posting list for its
-positive and one for its negative values, and a shard knows the largest impact in
-each list.  For a query only lists of its own sign can add to a score, so each
-term has a bound.  Terms are ordered by bound; those whose bounds together stay
-below the k-th best score known are non-essential: a vector found in their lists
-alone cannot be among the best.  Essential lists are traversed for all vectors of
-the shard, the others are probed, in order, only for vectors that are still
-competitive.  Each shard gives its k best per query, and the shards' lists are merged.
+A shard keeps one dense column of values per dimension in place of posting lists by
+sign, because embeddings have hardly any zeros, and knows the largest and the smallest
+value of each column; the sign of a query's term picks the one that bounds it.  Terms are
+ordered by bound; those whose bounds together stay below the k-th best score known
+are non-essential: a vector cannot be among the best by them alone.  Essential columns
+are computed for all vectors of the shard, of either sign; the others are probed, in
+order, only for vectors that are still competitive.  Each shard gives its k best per
+query, and the shards' lists are merged.
 
 Vectors are dealt to shards of about ``shard_rows``, queries to blocks of about
 ``block_rows``; a task holds one shard and one block, whatever the table's size.
