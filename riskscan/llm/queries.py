@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskscan.llm import chat, iblt, langid, linededup, mixing, packing, simhash, tokenfile, topk, urls
+from riskscan.llm import bestfit, chat, iblt, langid, linededup, mixing, packing, simhash, tokenfile, topk, urls
 from riskscan.llm.common import fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op13_best_fit")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bestfit.cut(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    # the digest goes through the placing in place of the ids, which need not be moved
+    return bestfit.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
