@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskscan.llm import bestfit, chat, iblt, langid, linededup, mixing, packing, simhash, tokenfile, topk, urls
-from riskscan.llm.common import fresh_path, table, tokenizer_file
+from riskscan.llm import bestfit, chat, iblt, langid, linededup, mixing, packing, runs, simhash, tokenfile, topk, urls
+from riskscan.llm.common import WORD, fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,6 +145,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def looped(text: Column, doc_id: Column) -> Column:
+    """The text with its end replaced by copies of a stretch of it, in a tenth of the documents chosen by their id."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        period = 1 + F.floor((n - a) / (3 + g % 8))
+        source = lambda i: F.when(i < a, i).otherwise(a + (i - a) % period).cast("int")
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, source(i))), " "))
+
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    edited = F.get(F.transform(F.array(words), repeated), F.lit(0))  # binds the words once
+    return F.when(h % 10 == 0, F.coalesce(edited, text)).otherwise(text)
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", looped(F.col("text"), F.col("doc_id")).alias("text"))
+    best = F.aggregate(
+        "runs", F.get("runs", F.lit(0)),
+        lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best),
+    )
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    found = runs.find_runs(docs).withColumn("_best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("_best.start"), F.col("_best.length"),
+        F.col("_best.period"), F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query("op13_best_fit")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = bestfit.cut(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
