@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskscan.llm import bestfit, chat, iblt, langid, linededup, mixing, packing, runs, simhash, tokenfile, topk, urls
+from riskscan.llm import bestfit, chat, divergence, iblt, langid, linededup, mixing, packing, runs, simhash, tokenfile, topk, urls
 from riskscan.llm.common import WORD, fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,56 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP11 = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), t AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d
+), kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM groups LEFT JOIN c USING (lang, source) GROUP BY lang, source
+), l AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY lang, term),
+lt AS (SELECT lang, sum(total)::HUGEINT AS total FROM g GROUP BY lang),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + v.v) AS p
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), q AS (
+  SELECT l.lang, l.term, 1 + (1000000000::HUGEINT * (l.n + 1)) // (lt.total + v.v) AS q
+  FROM l JOIN lt USING (lang) JOIN v USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM p AS x JOIN p AS y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  ) AS s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT p.lang, p.source, p.term AS item, (p.p - q.q) * (p.p - q.q) // q.q AS value
+  FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT * FROM (
+    SELECT lang, source, 'term' AS part, item, value,
+      row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms
+  ) WHERE rank <= 200
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+"""
+
+
+@query("op11_divergence", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def looped(text: Column, doc_id: Column) -> Column:
     """The text with its end replaced by copies of a stretch of it, in a tenth of the documents chosen by their id."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
