@@ -65,6 +65,33 @@ def s2(spark, sf):
     return read.select("id", "Title", "Description", "L2", "Risks", "Origin", "Note")
 
 
+MIXED_SQL = """SELECT o_orderkey AS id, 'order ' || CAST(o_orderkey AS VARCHAR) AS Title,
+CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'ticket ' || CAST(o_orderkey AS VARCHAR) END AS Ref,
+CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE CAST(o_orderkey AS VARCHAR) || '.5' END AS Mark,
+CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 3 = 0 END AS Flag,
+CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_orderkey AS DOUBLE) / 2 END AS Score,
+CASE WHEN o_orderkey % 2 = 0 THEN 'Ref|Mark' ELSE 'Mark' END AS not_text FROM orders"""
+
+
+@query("s2_mixed_kinds", MIXED_SQL)
+def s2_mixed(spark, sf):
+    """Columns that are numbers or booleans in some files and text in others."""
+    folder, orders = wr.scratch_dir(spark), table(spark, sf, "orders").withColumnRenamed("o_orderkey", "id")
+    titled = orders.withColumn("Title", F.concat(F.lit("order "), F.col("id").cast("string")))
+    even = titled.where("id % 2 = 0").selectExpr("id", "Title", "id AS Ref", "true AS Mark", "id % 3 = 0 AS Flag")
+    odd = titled.where("id % 2 = 1").selectExpr(
+        "cast(id AS double) / 2 AS Score", "id", "'ticket ' || id AS Ref", "cast(id AS string) || '.5' AS Mark", "Title"
+    )
+    even.write.options(header="true").csv(f"{folder}/a")
+    odd.write.options(header="true").csv(f"{folder}/b")
+    read = rd.read_csv_findings(spark, folder)
+    assert {f.name: f.dataType.typeName() for f in read.schema if f.name in ("id", "Flag", "Score", "Ref")} == {
+        "id": "long", "Flag": "boolean", "Score": "double", "Ref": "string"
+    }
+    return read.select("id", "Title", "Ref", "Mark", "Flag", "Score", F.array_join(
+        F.array_sort(fd.NOT_TEXT, lambda a, b: F.when(a == "Ref", -1).otherwise(1)), "|").alias("not_text"))
+
+
 @query(
     "s3_read_examples_jsonl",
     f"""SELECT 'example' AS outcome, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT text) AS BIGINT) AS texts FROM ({EXAMPLES_SQL})

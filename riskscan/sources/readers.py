@@ -16,6 +16,7 @@ from riskscan.functions.text import DESCRIPTION_FIELDS, L2_FIELDS, RISK_FIELDS,
 from riskscan.operators import findings as fd
 from riskscan.operators.findings import raw_to_examples
 from riskscan.operators.texts import dedupe_texts
+from riskscan.sources.writers import scratch_dir
 
 RAW_EXTENSIONS = ("xlsx", "xls", "csv")
 
@@ -62,46 +63,98 @@ def discover_files(spark: SparkSession, folder: str, extensions: tuple[str, ...]
 
 
 SOURCE, NOT_TEXT = "source_file", fd.NOT_TEXT
+#: Cells of one record at most, and bytes of a table with a row per file up to which it is broadcast.
+MAX_CELLS, BROADCAST_BYTES = 1 << 20, 1 << 26
 INTEGER = r"^[+-]?\d{1,18}$"
 TRUE_WORDS, FALSE_WORDS = ["True", "TRUE", "true"], ["False", "FALSE", "false"]
 
 
-def _csv_records(spark: SparkSession, paths: list[str] | str, multi_line: bool) -> DataFrame:
-    """(source_file, _at, _cells): every record of the CSV files, headers too, byte for byte as Latin-1 characters."""
-    files = spark.read.options(recursiveFileLookup="true", pathGlobFilter=f"*.{_any_case('csv')}")
-    commas = files.text(paths).agg(F.max(F.size(F.split("value", ","))).alias("n")).first()["n"]
-    if commas is None:
-        raise ValueError(f"no CSV file with content under {paths}")
-    width = int(commas) + 1  # no record on one line has more cells; one more shows what is over
-    schema = ", ".join(f"_c{i} string" for i in range(width))
-    options = {"multiLine": str(multi_line).lower(), "escape": '"', "encoding": "ISO-8859-1"}
-    raw = files.schema(schema).options(**options).csv(paths)
-    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    return raw.select(
-        F.col("_metadata.file_path").alias(SOURCE), at.alias("_at"), F.array(*[f"_c{i}" for i in range(width)]).alias("_cells")
+def _csv(spark: SparkSession, paths: list[str] | str, schema: str, multi_line: bool, **options: str) -> DataFrame:
+    """The CSV files at any depth, byte for byte as Latin-1 characters."""
+    reader = spark.read.options(
+        recursiveFileLookup="true", pathGlobFilter=f"*.{_any_case('csv')}", multiLine=str(multi_line).lower(), escape='"',
+        encoding="ISO-8859-1", maxColumns=str(MAX_CELLS), **options,
     )
+    return reader.schema(schema).csv(paths)
+
+
+RECORDS = "_c0 string, _record string"
+
 
+def _record() -> Column:
+    """A record as it stands in its file, from a scan of RECORDS: read as one column, every record of two cells and more
+    is malformed and comes whole; one of a single cell is that cell."""
+    quoted = F.concat(F.lit('"'), F.replace(F.coalesce("_c0", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.coalesce("_record", quoted)
 
-def _csv_files(records: DataFrame) -> DataFrame:
-    """One row per file: its header record, where that stands, and whether the file is valid UTF-8."""
-    valid = F.forall("_cells", lambda c: c.isNull() | F.is_valid_utf8(F.encode(c, "ISO-8859-1").cast("string")))
-    return records.groupBy(F.col(SOURCE).alias("_file")).agg(
-        F.min("_at").alias("_first"), F.min_by("_cells", "_at").alias("_header"), F.bool_and(valid).alias("_utf8")
+
+def _cells_of(record: str, width: int) -> Column:
+    """The first ``width`` cells of a record; null where it has fewer."""
+    cells = F.from_csv(record, ", ".join(f"c{i} string" for i in range(width)), {"escape": '"', "maxColumns": str(MAX_CELLS)})
+    return F.get(F.transform(F.array(cells), lambda c: F.array(*[c[f"c{i}"] for i in range(width)])), F.lit(0))
+
+
+def _csv_files(spark: SparkSession, paths: list[str] | str, multi_line: bool) -> DataFrame:
+    """(_file, _utf8, _header) of every file that has records below its header: the names in its header, and whether
+    it is valid UTF-8.  One scan, whose result is written, since each further step needs it.
+    Empty names are called by their place, and names that a header has before get a number.
+    """
+    raw = _csv(spark, paths, RECORDS, multi_line, columnNameOfCorruptRecord="_record")
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = raw.select(F.col("_metadata.file_path").alias("_file"), at.alias("_at"), _record().alias("_record"))
+    valid = F.is_valid_utf8(F.encode("_record", "ISO-8859-1").cast("string"))
+    found = rows.groupBy("_file").agg(
+        F.min_by("_record", "_at").alias("_first"), F.bool_and(valid).alias("_utf8"), F.count("*").alias("_n")
     )
+    path = f"{scratch_dir(spark)}/csv-files"
+    found.write.parquet(path)
+    files = spark.read.schema(found.schema).parquet(path).where("_n > 1")
+    header = F.regexp_replace(_decoded(F.col("_first")), "^\ufeff|^\u00ef\u00bb\u00bf", "")
+    bare = F.regexp_replace(header, '"([^"]|"")*"', "")  # commas inside quotes do not count
+    files = files.withColumn("_first", header).withColumn("_width", F.size(F.split(bare, ",")))
+    width = files.agg(F.max("_width")).first()[0]
+    if width is None:
+        raise ValueError(f"no CSV file with content under {paths}")
+    files = files.select("_file", "_utf8", F.slice(_cells_of("_first", width), F.lit(1), F.col("_width")).alias("_names"))
+    named = F.transform("_names", lambda c, i: F.coalesce(F.nullif(c, F.lit("")), F.concat(F.lit("Unnamed: "), i.cast("string"))))
+
+    def unlike(c: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice("_names", F.lit(1), i), lambda other: other == c))
+        return F.when(before > 0, F.concat(c, F.lit("."), before.cast("string"))).otherwise(c)
+
+    return files.withColumn("_names", named).select("_file", "_utf8", F.transform("_names", unlike).alias("_header"))
 
 
 def _decoded(cell: Column) -> Column:
     return F.when(F.col("_utf8"), F.decode(F.encode(cell, "ISO-8859-1"), "UTF-8")).otherwise(cell)
 
 
-def _csv_rows(spark: SparkSession, paths: list[str] | str, multi_line: bool) -> DataFrame:
-    """(source_file, _header, _cells) of the records below the headers, decoded; missing-value words are null."""
-    records = _csv_records(spark, paths, multi_line)
-    rows = records.join(_csv_files(records), F.col(SOURCE) == F.col("_file")).where(F.col("_at") > F.col("_first"))
-    names = F.transform(
-        F.filter("_header", lambda c: c.isNotNull()), lambda c: F.regexp_replace(_decoded(c), "^\ufeff|^\u00ef\u00bb\u00bf", "")
+def _beside(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """The rows with what a table with a row per file says of their file.
+
+    The table is broadcast if it is small, by its measured size; otherwise it is joined by
+    path, where adaptive execution splits the rows of large files.
+    """
+    width = F.octet_length("_file") + 64 + sum(
+        (F.octet_length(F.to_json(F.struct(f"`{f.name}`"))) for f in files.schema if f.dataType.typeName() in ("array", "struct")), F.lit(0)
     )
-    return rows.select(SOURCE, names.alias("_header"), F.transform("_cells", _decoded).alias("_cells"))
+    size = files.agg(F.sum(width.cast("long"))).first()[0] or 0
+    beside = F.broadcast(files) if size <= BROADCAST_BYTES else files
+    return rows.join(beside, F.col(SOURCE) == F.col("_file"))
+
+
+def _csv_rows(spark: SparkSession, paths: list[str] | str, files: DataFrame, multi_line: bool, whole: bool = False) -> DataFrame:
+    """The records below the headers with the columns of ``files``: source_file, _cells (as they stand in the file), and
+    with ``whole`` the _record.  There is one cell more than the longest header has."""
+    width = files.agg(F.max(F.size("_header"))).first()[0] + 1
+    path = F.col("_metadata.file_path").alias(SOURCE)
+    if whole:
+        raw = _csv(spark, paths, RECORDS, multi_line, header="true", columnNameOfCorruptRecord="_record")
+        rows = raw.select(path, _record().alias("_record")).select("*", _cells_of("_record", width).alias("_cells"))
+    else:
+        raw = _csv(spark, paths, ", ".join(f"_c{i} string" for i in range(width)), multi_line, header="true")
+        rows = raw.select(path, F.array(*[f"_c{i}" for i in range(width)]).alias("_cells"))
+    return _beside(rows, files)
 
 
 def _unique_names(names: list[str]) -> dict[str, str]:
@@ -129,18 +182,26 @@ def read_csv_findings(spark: SparkSession, paths: list[str] | str, infer_numbers
     (``7``, ``7.0``, ``True``), and ``_not_text`` names the columns of a row that
     are no text in its file, so that they do not enter assembled texts.
 
-    Records with more cells than their header are left to ``csv_rejects``.
+    The files are scanned once for their headers, once for the kinds, and once by the
+    query itself; a table with a row per file carries the findings over.  The width of
+    the table comes from the headers alone.  Records with more cells than their header are
+    left to ``csv_rejects``; a record of over MAX_CELLS cells is an error.
     ``multi_line=False`` lets Spark split files, for data without line breaks
     inside quotes.  The driver sees the distinct column names, not the files.
     """
-    rows = _csv_rows(spark, paths, multi_line).where(_fits())
-    found = rows.select(F.explode(F.array_distinct("_header")).alias("name")).distinct()
+    files = _csv_files(spark, paths, multi_line)
+    found = files.select(F.explode("_header").alias("name")).distinct()
     names = _unique_names([r["name"] for r in found.collect()])
-    cell = lambda name: F.get(F.col("_cells"), F.array_position("_header", F.lit(name)).cast("int") - 1)
-    present = lambda name: F.array_contains("_header", F.lit(name))
-    table = rows.select(
-        SOURCE, *[F.when(present(n) & ~cell(n).isin(*MISSING_CELLS), cell(n)).alias(c) for n, c in names.items()]
-    )
+    listed = F.array(*[F.lit(n) for n in names])
+    places = F.transform(listed, lambda n: F.array_position("_header", n).cast("int") - 1)  # -1: not in this file
+    rows = _csv_rows(spark, paths, files.withColumn("_places", places), multi_line).where(_fits())
+
+    def cell(i: int, column: str) -> Column:
+        place = F.get("_places", F.lit(i))
+        value = _decoded(F.when(place >= 0, F.get("_cells", place)))
+        return F.when(~value.isin(*MISSING_CELLS), value).alias(column)
+
+    table = rows.select(SOURCE, *[cell(i, column) for i, column in enumerate(names.values())])
     return _typed(table, list(names.values())) if infer_numbers else table
 
 
@@ -150,9 +211,12 @@ def _fits() -> Column:
 
 
 def csv_rejects(spark: SparkSession, paths: list[str] | str, multi_line: bool = True) -> DataFrame:
-    """S2. (source_file, cells) of the records that have more cells than their file's header."""
-    rows = _csv_rows(spark, paths, multi_line).where(~_fits())
-    return rows.select(SOURCE, F.filter("_cells", lambda c: c.isNotNull()).alias("cells"))
+    """S2. The records that have more cells than their file's header: source_file, cells (one more than the longest
+    header has, at most), and the whole record as it stands in the file."""
+    files = _csv_files(spark, paths, multi_line)
+    rows = _csv_rows(spark, paths, files, multi_line, whole=True).where(~_fits())
+    cells = F.transform(F.filter("_cells", lambda c: c.isNotNull()), _decoded)
+    return rows.select(SOURCE, cells.alias("cells"), _decoded(F.col("_record")).alias("record"))
 
 
 def _typed(table: DataFrame, names: list[str]) -> DataFrame:
@@ -170,7 +234,11 @@ def _typed(table: DataFrame, names: list[str]) -> DataFrame:
             .otherwise("text")
         )
 
-    kinds = table.groupBy(F.col(SOURCE).alias("_file")).agg(*[kind(n).alias(n) for n in names])
+    spark = table.sparkSession
+    found = table.groupBy(F.col(SOURCE).alias("_file")).agg(*[kind(n).alias(n) for n in names])
+    path = f"{scratch_dir(spark)}/csv-kinds"
+    found.write.parquet(path)
+    kinds = spark.read.schema(found.schema).parquet(path)
     seen = kinds.agg(*[F.sort_array(F.collect_set(f"`{n}`")).alias(n) for n in names]).first().asDict() if names else {}
     types = {"int": "bigint", "float": "double", "bool": "boolean"}
     mixed = [n for n in names if len(seen[n]) > 1]
@@ -180,9 +248,7 @@ def _typed(table: DataFrame, names: list[str]) -> DataFrame:
             plain[n] = F.btrim(plain[n]).cast(types[seen[n][0]])
     if not mixed:
         return table.select(*[c.alias(n) for n, c in plain.items()], SOURCE)
-    marked = table.join(
-        kinds.select("_file", F.struct(*[F.col(f"`{n}`") for n in mixed]).alias("_kinds")), F.col(SOURCE) == F.col("_file")
-    )
+    marked = _beside(table, kinds.select("_file", F.struct(*[F.col(f"`{n}`") for n in mixed]).alias("_kinds")))
     for n in mixed:
         c, k = F.btrim(F.col(f"`{n}`")), F.col(f"_kinds.`{n}`")
         plain[n] = (

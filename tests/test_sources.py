@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 
@@ -93,4 +94,73 @@ def test_case_of_names_and_rejected_records(spark, tmp_path):
     read = rd.read_csv_findings(spark, folder)
     assert sorted(c for c in read.columns if c.lower().startswith("title")) == ["TITLE (2)", "Title", "title (3)"]
     assert read.count() == 3
-    assert [r["cells"] for r in rd.csv_rejects(spark, folder).collect()] == [["Weak disk keys", "x", "EXTRA CELL"]]
+    rejects = rd.csv_rejects(spark, folder).collect()
+    assert [(r["cells"], r["record"]) for r in rejects] == [(["Weak disk keys", "x", "EXTRA CELL"], "Weak disk keys,x,EXTRA CELL")]
+
+
+def test_headers_of_every_kind(spark, tmp_path):
+    """Quoted commas, quotes and line breaks in names, empty and repeated names, a byte order mark, headers alone."""
+    folder = write_csv(
+        tmp_path, a='\ufeff"Title, long","Line\nbreak","say ""x""",,Note,Note,\nA,B,C,D,E,F,G\n', b="single\nvalue\n\"x,y\"\n",
+        c="only,a,header\n", d="",
+    )
+    read = rd.read_csv_findings(spark, folder, infer_numbers=False)
+    assert sorted(set(read.columns) - {"source_file"}) == sorted(
+        ["Title, long", "Line\nbreak", 'say "x"', "Unnamed: 3", "Note", "Note.1", "Unnamed: 6", "single"]
+    )
+    rows = [r.asDict() for r in read.drop("source_file").collect()]
+    filled = sorted((sorted((k, v) for k, v in r.items() if v is not None) for r in rows), key=str)
+    assert filled == sorted([
+        sorted({"Title, long": "A", "Line\nbreak": "B", 'say "x"': "C", "Unnamed: 3": "D", "Note": "E", "Note.1": "F", "Unnamed: 6": "G"}.items()),
+        [("single", "value")], [("single", "x,y")],
+    ], key=str)
+
+
+def test_a_long_cell_does_not_widen_the_table(spark, tmp_path):
+    log = ",".join(["entry"] * 25_000)
+    folder = write_csv(tmp_path, a=f'Title,Note\nOpen port here,"{log}"\nplain,x\n', b=f"Title,Other\nlog line,{log}\nfine,y\n")
+    rd.read_csv_findings(spark, write_csv(tmp_path)).collect()  # the session is warm
+    began = time.monotonic()
+    read = rd.read_csv_findings(spark, folder)
+    rows = {r["Title"]: r for r in read.collect()}
+    assert time.monotonic() - began < 20  # alone under 5 s; the machine may be busy
+    assert sorted(read.columns) == ["Note", "Other", "Title", "source_file"]
+    assert set(rows) == {"Open port here", "plain", "fine"} and rows["Open port here"]["Note"] == log
+    rejects = rd.csv_rejects(spark, folder).collect()
+    assert [(r["cells"], r["record"]) for r in rejects] == [(["log line", "entry", "entry"], f"log line,{log}")]
+
+
+def test_csv_files_are_scanned_three_times(spark, tmp_path, monkeypatch):
+    folder = write_csv(tmp_path, **{f"f{i}": f"Title,c{i % 3}\nOpen port {i},{'x' if i % 2 else i}\n" for i in range(9)})
+    scans, plans = [], []
+    scan = rd._csv
+    monkeypatch.setattr(rd, "_csv", lambda *a, **k: scans.append(a) or scan(*a, **k))
+    write = type(spark.range(0).write).parquet
+    monkeypatch.setattr(type(spark.range(0).write), "parquet", lambda w, *a, **k: plans.append(plan_of(w._df)) or write(w, *a, **k))
+    read = rd.read_csv_findings(spark, folder)
+    assert len(scans) == 2 and [p.count("FileScan csv") for p in [*plans, plan_of(read)]] == [1, 1, 1]
+    assert "_not_text" in read.columns and read.count() == 9
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_split_files_and_a_table_of_files_beyond_broadcast(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(rd, "BROADCAST_BYTES", limit)
+    for name, head in (("a", "Title,Ref"), ("b", "Ref,Title"), ("c", "Title,Extra")):
+        lines = [f"{i},t{i}" if head.startswith("Ref") else f"t{i},{i}" for i in range(4000)]
+        (tmp_path / f"{name}.csv").write_text("\n".join([head, *lines, ""]))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5k")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        read = rd.read_csv_findings(spark, str(tmp_path), multi_line=False)
+        assert ("BroadcastHashJoin" in plan_of(read)) == (limit > 0)
+        assert read.rdd.getNumPartitions() > 8 or limit == 0
+        assert read.count() == 12_000 and read.where("Title <> 't' || coalesce(Ref, Extra)").count() == 0
+        assert read.where("Title = 'Title' or Title is null").isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
