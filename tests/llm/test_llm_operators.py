@@ -190,6 +190,26 @@ def test_near_dedup_stage_on_odd_rows(odd, empty):
     assert resemblance.one_of_each(empty).count() == 0
 
 
+def test_texts_that_share_a_passage_cost_rows_in_proportion(spark, monkeypatch):
+    """200 shared and 50 own words each: no two are alike, and no text meets all others."""
+    shared = [f"common{i}" for i in range(200)]
+    sizes, compared = (100, 200, 400), []
+    written = resemblance.written
+
+    def counting(df, name):
+        out = written(df, name)
+        compared[-1] += out.count() if name == "tried" else 0
+        return out
+
+    monkeypatch.setattr(resemblance, "written", counting)
+    for n in sizes:
+        rows = [(i, " ".join(shared[:100] + [f"own{i}x{j}" for j in range(50)] + shared[100:]), "en", "a") for i in range(n)]
+        compared.append(0)
+        docs = documents(spark, rows)
+        assert resemblance.similar(docs, resemblance.marks(docs)).isEmpty()
+    assert compared[-1] <= 20 * sizes[-1] and compared[-1] <= 2.5 * compared[-2] <= 6.25 * compared[-3]
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = connected(links).agg(F.count("*"), F.count_distinct("root")).first()
