@@ -11,11 +11,13 @@ There is no shuffle, so one label that fills a third of the table costs nothing
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ FAR = 8.0  # from this length ratio on, window scores are damped further
 NEAR_DAMP, FAR_DAMP = 0.9, 0.6
 TOKEN_DAMP = 0.95
 
+#: Pairs compared at a time, at least and at most; 64-bit words a string may take there; strings whose windows are bounded.
+LEAST_LANES, LANES, LANE_WORDS, LONG = 16, 1 << 14, 8, 1 << 8
 MEMO_CHARS = 1 << 22  # what a worker's memo may hold, counted in characters of its keys
 MEMO_LONGEST = 1 << 10  # longer values are scored each time
 
@@ -61,6 +65,68 @@ def _lcs(bits: dict[str, int], size: int, other: str) -> int:
     return size - row.bit_count()
 
 
+def lcs_lengths(pairs: Sequence[tuple[str, str]]) -> np.ndarray:
+    """Length of the longest common subsequence of every pair, all pairs at a time.
+
+    The shorter string of a pair is a row of 64-bit words with a bit a character; a step
+    takes the next character of every longer string, and a carry goes from word to
+    word.  Strings of more than LANE_WORDS words go one by one, as one long number.
+    """
+    out = np.zeros(len(pairs), dtype=np.int64)
+    by_words: dict[int, list[int]] = {}
+    for i, (a, b) in enumerate(pairs):
+        if a and b:
+            by_words.setdefault(-(-min(len(a), len(b)) // 64), []).append(i)
+    for words, rows in by_words.items():
+        if words > LANE_WORDS or len(rows) < LEAST_LANES:
+            for i in rows:
+                a, b = sorted(pairs[i], key=len)
+                out[i] = _lcs(_position_bits(a), len(a), b)
+        else:
+            for at in range(0, len(rows), LANES):
+                part = rows[at:at + LANES]
+                out[part] = _lane_lengths([sorted(pairs[i], key=len) for i in part], words)
+    return out
+
+
+def _lane_lengths(pairs: list[list[str]], words: int) -> np.ndarray:
+    """The same for pairs (shorter, longer) whose shorter strings take so many 64-bit words."""
+    order = sorted(range(len(pairs)), key=lambda i: -len(pairs[i][1]))  # lanes end from the last one on
+    short, long = [pairs[i][0] for i in order], [pairs[i][1] for i in order]
+    points = lambda strings: np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    sizes, ends = np.array([len(s) for s in short]), np.array([len(s) for s in long])
+    alphabet, letter = np.unique(points(short), return_inverse=True)
+    lane = np.repeat(np.arange(len(short)), sizes)
+    bit = np.arange(len(lane)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    # where each letter stands in each shorter string; the last column is for all other letters
+    stands = np.zeros((words, len(short), len(alphabet) + 1), dtype=np.uint64)
+    np.bitwise_or.at(stands, (bit >> 6, lane, letter), np.uint64(1) << (bit & 63).astype(np.uint64))
+    text = points(long)
+    found = np.minimum(np.searchsorted(alphabet, text), len(alphabet) - 1)
+    code = np.where(alphabet[found] == text, found, len(alphabet))
+    starts = np.cumsum(ends) - ends
+    state = np.full((words, len(short)), ~np.uint64(0), dtype=np.uint64)
+    live, lanes = len(short), np.arange(len(short))
+    for step in range(int(ends[0])):
+        while ends[live - 1] <= step:
+            live -= 1
+        at = code[starts[:live] + step]
+        carry = np.zeros(live, dtype=np.uint64)
+        for word in range(words):
+            held = state[word, :live]
+            hit = held & stands[word, lanes[:live], at]
+            added = held + hit
+            total = added + carry
+            if word + 1 < words:
+                carry = ((added < held) | (total < added)).astype(np.uint64)
+            state[word, :live] = total | (held ^ hit)
+    # a bit that has become 0 counts; beyond a string's end no bit can
+    length = np.bitwise_count(~state).sum(axis=0, dtype=np.int64)
+    out = np.zeros(len(pairs), dtype=np.int64)
+    out[order] = length
+    return out
+
+
 def ratio(a: str, b: str) -> float:
     if not a and not b:
         return 100.0
@@ -84,6 +150,8 @@ def partial(a: str, b: str, floor: float = 0.0) -> float:
 def _best_window(a: str, b: str, floor: float) -> float:
     """Slides over ``b`` and counts the characters that window and ``a`` share; no
     common subsequence is longer, so only windows that can still win are compared."""
+    if len(a) >= LONG:
+        return _best_long_window(a, b, floor)
     bits, size, best, found = _position_bits(a), len(a), floor, 0.0
     left = Counter(a)  # of each character of a, how many more the window may have
     shared, end = 0, len(b)
@@ -112,21 +180,67 @@ def _best_window(a: str, b: str, floor: float) -> float:
     return found
 
 
+def _best_long_window(a: str, b: str, floor: float) -> float:
+    """The same by bounds between windows: a subsequence grows by no more than one character when the window
+    moves by one, so between two windows that were compared it is bounded from both sides.  The stretch with the
+    highest bound is halved, until none can win."""
+    bits, size, end = _position_bits(a), len(a), len(b)
+    best, found = floor, 0.0
+
+    def width(stop: int) -> int:
+        return min(stop, end) - max(stop - size, 0)
+
+    def length(stop: int) -> int:
+        nonlocal best, found
+        common = _lcs(bits, size, b[max(stop - size, 0):min(stop, end)])
+        score = 200.0 * common / (size + width(stop))
+        found, best = max(found, score), max(best, score)
+        return common
+
+    stretches: list[tuple[float, int, int, int, int]] = []
+
+    def bounded(low: int, at_low: int, high: int, at_high: int) -> None:
+        if high - low > 1:
+            narrow, wide = sorted((width(low), width(high)))
+            most = min((at_low + at_high + high - low) / 2, size)
+            bound = 200.0 * most / (size + max(narrow, most if wide < size else narrow))
+            if bound > best:
+                heapq.heappush(stretches, (-bound, low, at_low, high, at_high))
+
+    marks = sorted({1, min(size, end), max(size, end), end + size - 1})  # where windows grow, are whole, and shrink
+    values = [length(m) for m in marks]
+    for i in range(len(marks) - 1):
+        bounded(marks[i], values[i], marks[i + 1], values[i + 1])
+    while stretches and best < 100.0:
+        bound, low, at_low, high, at_high = heapq.heappop(stretches)
+        if -bound <= best:
+            break
+        middle = (low + high) // 2
+        value = length(middle)
+        bounded(low, at_low, middle, value)
+        bounded(middle, value, high, at_high)
+    return found
+
+
 def token_sort(a: str, b: str) -> float:
     return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
 
 
+def _token_parts(left: list[str], right: list[str]) -> tuple[str, str, str]:
+    """The common words, and these followed by the others of either side; all sorted, each word once."""
+    a, b = set(left), set(right)
+    base = " ".join(sorted(a & b))
+    return base, f"{base} {' '.join(sorted(a - b))}".strip(), f"{base} {' '.join(sorted(b - a))}".strip()
+
+
 def token_set(a: str, b: str) -> float:
-    left, right = set(a.split()), set(b.split())
+    left, right = a.split(), b.split()
     if not left or not right:
         return 0.0
-    shared = left & right
-    only_a, only_b = " ".join(sorted(left - right)), " ".join(sorted(right - left))
-    if shared and (not only_a or not only_b):
+    base, with_a, with_b = _token_parts(left, right)
+    if base and (with_a == base or with_b == base):
         return 100.0
-    base = " ".join(sorted(shared))
-    with_a, with_b = f"{base} {only_a}".strip(), f"{base} {only_b}".strip()
-    return max([ratio(with_a, with_b)] + ([ratio(base, with_a), ratio(base, with_b)] if shared else []))
+    return max([ratio(with_a, with_b)] + ([ratio(base, with_a), ratio(base, with_b)] if base else []))
 
 
 def _partial_token(a: str, b: str, floor: float = 0.0) -> float:
@@ -140,14 +254,19 @@ def _partial_token(a: str, b: str, floor: float = 0.0) -> float:
     return max(best, partial(" ".join(once_a), " ".join(once_b), max(floor, best)))
 
 
+def _damping(a: str, b: str) -> float:
+    """1 for strings of about equal length, which are compared as wholes; less for windows."""
+    spread = max(len(a), len(b)) / min(len(a), len(b))
+    return 1.0 if spread < NEAR else NEAR_DAMP if spread < FAR else FAR_DAMP
+
+
 def weighted(a: str, b: str, floor: float = 0.0) -> float:
     """Exact from ``floor`` on; otherwise less than that."""
     if not a or not b:
         return 0.0
-    spread = max(len(a), len(b)) / min(len(a), len(b))
-    if spread < NEAR:
+    k = _damping(a, b)
+    if k == 1.0:
         return max(ratio(a, b), TOKEN_DAMP * max(token_sort(a, b), token_set(a, b)))
-    k = NEAR_DAMP if spread < FAR else FAR_DAMP
     most = 200.0 * min(len(a), len(b)) / (len(a) + len(b))
     least = floor * (1 - 1e-9)  # what falls short of it by no more than rounding is still computed
     if max(most, 100 * k) < least:
@@ -161,15 +280,46 @@ def weighted(a: str, b: str, floor: float = 0.0) -> float:
     return score if score >= floor else 0.0
 
 
+def _from(cutoff: float, score: float) -> float:
+    return score if score >= cutoff else 0.0
+
+
 def similarity(a: str | None, b: str | None, cutoff: float = 65.0) -> float:
     """F1. Best of all scores, each dropped below the cutoff, as 0-1."""
-    a, b = normalise(a or ""), normalise(b or "")
-    if not a or not b:
-        return 0.0
-    if a == b:
-        return 1.0
-    scores = (ratio(a, b), partial(a, b), token_sort(a, b), token_set(a, b), weighted(a, b))
-    return max((s for s in scores if s >= cutoff), default=0.0) / 100.0
+    return similarities([(a, b)], cutoff)[0]
+
+
+def similarities(pairs: Sequence[tuple[str | None, str | None]], cutoff: float = 65.0) -> list[float]:
+    """F1 of every pair.  The whole-string scores of all pairs are computed together; windows
+    are compared only as far as they can beat them."""
+    normal = [(normalise(a or ""), normalise(b or "")) for a, b in pairs]
+    best = [100.0 if a and a == b else 0.0 for a, b in normal]
+    wanted: list[tuple[int, str, str]] = []
+    for i, (a, b) in enumerate(normal):
+        if not a or not b or a == b:
+            continue
+        left, right = a.split(), b.split()
+        wanted += [(i, a, b), (i, " ".join(sorted(left)), " ".join(sorted(right)))]
+        base, with_a, with_b = _token_parts(left, right)
+        if base and (with_a == base or with_b == base):
+            best[i] = 100.0
+        elif left and right:
+            wanted += [(i, with_a, with_b), *([(i, base, with_a), (i, base, with_b)] if base else [])]
+    wanted = [w for w in wanted if best[w[0]] < 100.0]
+    for (i, a, b), common in zip(wanted, lcs_lengths([w[1:] for w in wanted]).tolist()):
+        score = 200.0 * common / (len(a) + len(b))
+        best[i] = max(best[i], _from(cutoff, score))
+    for i, (a, b) in enumerate(normal):
+        if not a or not b or best[i] == 100.0:
+            continue
+        # of the weighted score, all but windows of sorted words is no more than one of the other scores;
+        # windows are exact beyond the cutoff and the scores so far, and below these they do not matter
+        damp = TOKEN_DAMP * _damping(a, b)
+        floor = max(best[i], cutoff) * (1 - 1e-9)
+        if damp < TOKEN_DAMP and 100 * damp > floor:
+            best[i] = max(best[i], _from(cutoff, damp * _partial_token(a, b, floor / damp)))
+        best[i] = max(best[i], _from(cutoff, partial(a, b, max(floor, best[i] * (1 - 1e-9)))))
+    return [score / 100.0 for score in best]
 
 
 # --------------------------------------------------------------------------
@@ -227,11 +377,11 @@ def similarity_col(a: Column, b: Column, cutoff: float = 65.0) -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        def pair_score(x: str, y: str) -> float:
-            return _MEMO.get(("pair", cutoff), (x, y), len(x) + len(y), lambda: similarity(x, y, cutoff))
-
         for left, right in batches:
-            yield pd.Series([pair_score(x or "", y or "") for x, y in zip(left, right)], dtype="float64")
+            pairs = list(zip(left.fillna(""), right.fillna("")))
+            once = dict.fromkeys(pairs)
+            known = dict(zip(once, similarities(list(once), cutoff)))
+            yield pd.Series([known[p] for p in pairs], dtype="float64")
 
     return _once(score)(a, b)
 

@@ -1,6 +1,7 @@
 """The fuzzy scorer by hand and by brute force, and the matching columns."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +134,54 @@ def test_scores_from_a_floor_on_are_exact():
         windows = [longer[max(s, 0):s + size] for s in range(1 - size, len(longer))]
         if len(a) != len(b) and size:
             assert sim.partial(a, b) == max(sim.ratio(shorter, w) for w in windows)
+
+
+def test_scores_of_many_pairs_equal_their_definition():
+    """All pairs at once, strings of several 64-bit words and other planes, against the scores one by one."""
+    rng = random.Random(11)
+    words = ["data", "risk", "access", "ü", "x", "of", "the", "protect", "Incident", "𝒳𝒴", "_a_"]
+
+    def text(longest):
+        return " ".join(rng.choice(words) if rng.random() < 0.6 else "".join(rng.choice("abcde ß") for _ in range(rng.randint(1, 8)))
+                        for _ in range(rng.randint(0, longest)))
+
+    pairs = [(text(rng.choice([3, 8, 40])), text(rng.choice([3, 8, 90]))) for _ in range(1500)]
+    pairs += [(a, a[:len(a) // 2] + text(3)) for a, _ in pairs[:300]] + [(None, "a"), ("", ""), ("same", "SAME"), ("Ä", "ä")]
+    lengths = sim.lcs_lengths([(a or "", b or "") for a, b in pairs])
+    for at in range(0, len(pairs), 23):
+        assert lengths[at] == _lcs(pairs[at][0] or "", pairs[at][1] or "")
+    for cutoff in (65.0, 30.0):
+        for (a, b), score in zip(pairs, sim.similarities(pairs, cutoff)):
+            a, b = sim.normalise(a or ""), sim.normalise(b or "")
+            scores = [f(a, b) for f in (sim.ratio, sim.partial, sim.token_sort, sim.token_set, sim.weighted)] if a and b else [0.0]
+            expected = 100.0 if a and a == b else max((s for s in scores if s >= cutoff), default=0.0)
+            assert score == pytest.approx(expected / 100, abs=1e-9)
+
+
+@pytest.mark.parametrize("floor", [0.0, 55.0, 75.0])
+def test_long_windows_equal_brute_force(monkeypatch, floor):
+    monkeypatch.setattr(sim, "LONG", 10)
+    rng = random.Random(5)
+    for _ in range(60):
+        a, b = ("".join(rng.choice("abc ") for _ in range(rng.randint(10, n))) for n in (40, 120))
+        if rng.random() < 0.5:
+            b = b[:9] + a[3:-2] + b[9:]
+        short, long = sorted((a, b), key=len)
+        sides = [(short, long)] + ([(long, short)] if len(a) == len(b) else [])
+        best = max(
+            200.0 * _lcs(s, w) / (len(s) + len(w)) for s, t in sides for w in (t[max(i, 0):i + len(s)] for i in range(1 - len(s), len(t)))
+        )
+        found = sim.partial(a, b, floor)
+        assert found == best if best > floor else found <= floor
+
+
+def test_two_long_texts_take_a_moment():
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    a, b = (" ".join(rng.choice(vocabulary) for _ in range(3200))[:n] for n in (20_000, 19_500))
+    began = time.monotonic()
+    sim.ratio(a, b)
+    whole = time.monotonic() - began
+    score = sim.similarity(a, b)
+    assert whole < 1 and time.monotonic() - began < 10  # 0.05 and 0.3 s alone; the machine may be busy
+    assert 0 <= score <= 1
