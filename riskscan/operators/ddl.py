@@ -11,6 +11,7 @@ from riskscan.operators.common import pin
 from riskscan.taxonomy import str_array
 
 LEVELS = ["PC3", "PC1", "PC0", "AMBIGUOUS"]
+MARKS = {name: 1 << bit for bit, name in enumerate(["PC3", "PC1", "AMBIGUOUS", *rules.TYPE_RECOMMENDATIONS])}
 
 
 def explode_columns(df: DataFrame, ddl: str = "ddl", id_col: str = "stmt_id") -> DataFrame:
@@ -44,35 +45,47 @@ def analyze_ddl(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     """
     text = F.col(ddl)
     ruled = F.transform(rules.columns_of(text), lambda c: c.withField("rules", rules.column_rules(c["column_name"])))
-    out = pin(df.withColumn("_ruled", ruled), {"columns": F.transform("_ruled", _column_finding)}).drop("_ruled")
-    out = (
-        out.withColumn("statement_type", rules.statement_type(text))
-        .withColumn("table_name", rules.table_name(text))
-        .withColumn("pii_summary", _summary(F.col("columns")))
-    )
-    out = out.withColumn(
-        "overall_classification",
-        rules.overall_class(
-            F.size("pii_summary.PC3") > 0, F.size("pii_summary.PC1") > 0, F.size("pii_summary.AMBIGUOUS") > 0
-        ),
-    )
+    # settled once per row; the findings themselves are plain columns, made only where they are asked for
+    out = pin(df, {"_ruled": ruled}).withColumn("_marks", _marks(F.col("_ruled")))
+    marked = {name: F.col("_marks").bitwiseAND(F.lit(bit)) > 0 for name, bit in MARKS.items()}
+    overall = rules.overall_class(marked["PC3"], marked["PC1"], marked["AMBIGUOUS"])
+    out = out.withColumns({
+        "columns": F.transform("_ruled", _column_finding), "statement_type": rules.statement_type(text),
+        "table_name": rules.table_name(text), "overall_classification": overall,
+    })
     ambiguous = F.transform(
         F.filter("columns", lambda c: c["is_ambiguous"]),
         lambda c: F.struct(
             c["column_name"], c["ambiguous_type"], c["pii_possibility"], c["context_clues"], c["data_type"]
         ),
     )
-    sensitive = F.concat(F.col("pii_summary.PC3"), F.col("pii_summary.PC1"))
-    has_type = {t: F.array_contains(sensitive, t) for t in rules.TYPE_RECOMMENDATIONS}
-    overall = F.col("overall_classification")
-    return (
-        out.withColumn("ambiguous_columns", ambiguous)
-        .withColumn("requires_human_review", F.size("ambiguous_columns") > 0)
-        .withColumn("privacy_recommendations", rules.recommendations(overall, has_type))
-        .withColumn("compliance_flags", rules.compliance_flags(overall, has_type))
+    has_type = {t: marked[t] for t in rules.TYPE_RECOMMENDATIONS}
+    return out.select(
+        *[F.col(f"`{c}`") for c in out.columns if c not in ("_ruled", "_marks", "overall_classification")],
+        _summary(F.col("columns")).alias("pii_summary"), "overall_classification", ambiguous.alias("ambiguous_columns"),
+        marked["AMBIGUOUS"].alias("requires_human_review"),
+        rules.recommendations(F.col("overall_classification"), has_type).alias("privacy_recommendations"),
+        rules.compliance_flags(F.col("overall_classification"), has_type).alias("compliance_flags"),
     )
 
 
+def _marks(ruled: Column) -> Column:
+    """What any column of a statement is, as bits of MARKS: its categories, and sensitive types that call for advice."""
+
+    def mark(c: Column) -> Column:
+        rule = c["rules"]["rule"]
+        category = F.when(rule["pc"] == "PC3", MARKS["PC3"]).when(rule["pc"] == "PC1", MARKS["PC1"]).when(
+            rule["kind"].isNull() & c["rules"]["group"].isNotNull(), MARKS["AMBIGUOUS"]
+        ).otherwise(0)
+        sensitive = rule["pc"].isin("PC3", "PC1")
+        kind = F.lit(0)
+        for name in rules.TYPE_RECOMMENDATIONS:
+            kind = F.when(sensitive & (rule["kind"] == name), MARKS[name]).otherwise(kind)
+        return category.bitwiseOR(kind)
+
+    return F.coalesce(F.aggregate(ruled, F.lit(0), lambda marks, c: marks.bitwiseOR(mark(c))), F.lit(0))
+
+
 def _column_finding(c: Column) -> Column:
     """The eleven fields of one column finding."""
     name, kind = c["column_name"], c["data_type"]

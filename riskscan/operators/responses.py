@@ -9,6 +9,7 @@ from riskscan.functions.classify import normalise_pii_types, pc_from_keywords, p
 from riskscan.functions.matching import filter_risks_by_l2
 from riskscan.functions.responses import (
     MAX_RISKS,
+    Field,
     any_of,
     extract_json,
     l2_in_text,
@@ -38,10 +39,27 @@ def parse_responses(
     kind: str = "type",
     taxonomy: Taxonomy = DEFAULT,
 ) -> DataFrame:
-    """R1-R8 for a table with a ``risk`` / ``pii`` column; adds ``result``, one struct of RESULT_FIELDS.
+    """R1-R8 for a table with a ``risk`` / ``pii`` column; adds ``result``, one struct of RESULT_FIELDS."""
+    flat = parsed_fields(df, response, text, kind, taxonomy, prefix="_out_")
+    kept = [F.col(f"`{c}`") for c in df.columns if c != "result"]
+    return flat.select(*kept, F.struct(*[F.col(f"_out_{f}").alias(f) for f in RESULT_FIELDS]).alias("result"))
+
+
+def parsed_fields(
+    df: DataFrame,
+    response: str = "response",
+    text: str = "text",
+    kind: str = "type",
+    taxonomy: Taxonomy = DEFAULT,
+    prefix: str = "",
+) -> DataFrame:
+    """R1-R8 with RESULT_FIELDS as plain columns, of which only those are made that are used; same-named input
+    columns give way.
 
     Everything is a projection: no shuffle, and the pattern cascade of the text
-    fallback only sees the responses whose JSON could not be used.
+    fallback only sees the responses whose JSON could not be used.  How a response was
+    read is settled first, once per row; what it says is made from that by plain columns, so a
+    query of the counts or the success alone never looks for risks or types.
     """
     is_risk = F.col(kind) == "risk"
     raw = F.coalesce(F.col(response), F.lit(""))
@@ -50,14 +68,14 @@ def parse_responses(
         .withColumn("_empty", btrim_u(F.col("_raw")) == "")
         .withColumn("_json", F.try_parse_json(extract_json(F.col("_raw"))))
     )
-    staged = _risk_stage(staged, is_risk & ~F.col("_empty"), taxonomy)
-    staged = _pii_stage(staged, ~is_risk & ~F.col("_empty"), F.col(text), taxonomy)
-    result = (
-        F.when(F.col("_empty"), _empty_result(is_risk, F.col(text)))
-        .when(is_risk, _risk_result(F.col(text)))
-        .otherwise(_pii_result(F.col(text)))
-    )
-    return pin(staged, {"result": result}).select(*[F.col(f"`{c}`") for c in df.columns], "result")
+    staged, fields, states = _states(staged, is_risk, taxonomy)
+    staged = pin(staged, states)
+    staged = _pii_content(_risk_content(staged, fields, taxonomy), fields, F.col(text), taxonomy)
+    empty, risk, pii = _empty_result(is_risk, F.col(text)), _risk_result(F.col(text)), _pii_result(F.col(text))
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in [prefix + f for f in RESULT_FIELDS]]
+    return staged.select(*kept, *[
+        F.when(F.col("_empty"), empty[f]).when(is_risk, risk[f]).otherwise(pii[f]).alias(prefix + f) for f in RESULT_FIELDS
+    ])
 
 
 def parse_risk_responses(df: DataFrame, response: str = "response", text: str = "text",
@@ -81,43 +99,48 @@ def flatten_results(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _risk_stage(df: DataFrame, applies: Column, taxonomy: Taxonomy) -> DataFrame:
-    """Adds _r_state (ok / error / fallback), _r_l2 and _r_risks."""
-    df, l2 = with_field(df, "_json", "l2_category")
-    df, risks = with_field(df, "_json", "macro_risks")
+def _states(df: DataFrame, is_risk: Column, taxonomy: Taxonomy) -> tuple[DataFrame, dict[str, Field], dict[str, Column]]:
+    """The members of the parsed JSON, and how each response is read: _r_state or _p_state (ok / error / fallback)."""
+    fields = {}
+    for name in ("l2_category", "macro_risks", "pc_category", "pii_types"):
+        df, fields[name] = with_field(df, "_json", name)
+    l2, risks, types = (fields[n] for n in ("l2_category", "macro_risks", "pii_types"))
+    no_json = F.col("_json").isNull()
     known = label_key(l2.string).isin(*[k for k, risks in taxonomy.macro_risks.items() if risks])
     scalar = risks.is_a("number", "bool")
-    unusable = any_of(
+    no_risks = any_of(
         risks.is_a("null"),
         scalar & (risks.falsy | l2.falsy),
         scalar & l2.is_a("string") & known,
     )
     to_text = any_of(
-        F.col("_json").isNull(),
         ~l2.falsy & ~l2.is_a("string") & ~risks.falsy,
         ~l2.falsy & l2.is_a("string") & known & ~risks.only_strings,
     )
-    state = F.when(F.col("_json").isNull(), "fallback").when(unusable, "error").when(to_text, "fallback").otherwise("ok")
-    valid = filter_risks_by_l2(F.when(l2.is_a("string"), l2.string), risks.strings, taxonomy)
-    df = df.withColumn("_r_state", F.when(applies, state))
-    json_risks = F.when(F.col("_r_state") == "ok", valid)
-    df = df.withColumn("_r_json_l2", l2.string).withColumn("_r_json_risks", json_risks)
+    no_types = any_of(types.is_a("null", "number", "bool"), ~types.only_strings)
+    risk = F.when(no_json, "fallback").when(no_risks, "error").when(to_text, "fallback").otherwise("ok")
+    pii = F.when(no_json, "fallback").when(no_types, "error").otherwise("ok")
+    filled = ~F.col("_empty")
+    return df, fields, {"_r_state": F.when(is_risk & filled, risk), "_p_state": F.when(~is_risk & filled, pii)}
+
+
+def _risk_content(df: DataFrame, fields: dict[str, Field], taxonomy: Taxonomy) -> DataFrame:
+    """Adds _r_l2 and _r_risks."""
+    l2, risks = fields["l2_category"], fields["macro_risks"]
+    ok = F.col("_r_state") == "ok"
     plain = F.when(F.col("_r_state") == "fallback", btrim_u(F.col("_raw")))
-    df = df.withColumn("_r_text_l2", l2_in_text(plain)).withColumn("_r_items", risks_in_text(plain))
+    df = df.withColumns({"_r_text_l2": l2_in_text(plain), "_r_items": risks_in_text(plain)})
+    valid = F.when(ok, filter_risks_by_l2(F.when(l2.is_a("string"), l2.string), risks.strings, taxonomy))
     text_risks = risks_for_l2_text(F.col("_r_text_l2"), F.col("_r_items"), taxonomy)
-    ok = F.col("_r_state") == "ok"
-    return df.withColumn("_r_l2", F.when(ok, F.col("_r_json_l2")).otherwise(F.col("_r_text_l2"))).withColumn(
-        "_r_risks", F.slice(F.when(ok, F.col("_r_json_risks")).otherwise(text_risks), 1, MAX_RISKS)
-    )
+    return df.withColumns({
+        "_r_l2": F.when(ok, l2.string).otherwise(F.col("_r_text_l2")),
+        "_r_risks": F.slice(F.when(ok, valid).otherwise(text_risks), 1, MAX_RISKS),
+    })
 
 
-def _pii_stage(df: DataFrame, applies: Column, text: Column, taxonomy: Taxonomy) -> DataFrame:
-    """Adds _p_state (ok / error / fallback), _p_pc and _p_types."""
-    df, pc = with_field(df, "_json", "pc_category")
-    df, types = with_field(df, "_json", "pii_types")
-    unusable = any_of(types.is_a("null", "number", "bool"), ~types.only_strings)
-    state = F.when(F.col("_json").isNull(), "fallback").when(unusable, "error").otherwise("ok")
-    df = df.withColumn("_p_state", F.when(applies, state))
+def _pii_content(df: DataFrame, fields: dict[str, Field], text: Column, taxonomy: Taxonomy) -> DataFrame:
+    """Adds _p_pc and _p_types."""
+    pc, types = fields["pc_category"], fields["pii_types"]
     ok = F.col("_p_state") == "ok"
     stated = F.when(pc.is_a("string") & pc.string.isin(*taxonomy.protection), pc.string)
     json_types = F.when(ok, normalise_pii_types(types.strings, taxonomy))
@@ -131,16 +154,12 @@ def _pii_stage(df: DataFrame, applies: Column, text: Column, taxonomy: Taxonomy)
     return df.withColumn("_p_pc", pc_upgrade(F.col("_p_found_pc"), F.col("_p_types")))
 
 
-def _result(**values: Column) -> Column:
+def _result(**values: Column) -> dict[str, Column]:
     types = {"success": "boolean", "macro_risks": "array<string>", "pii_types": "array<string>"}
-    cols = []
-    for name in RESULT_FIELDS:
-        value = values.get(name, F.lit(None))
-        cols.append(value.cast(types.get(name, "string")).alias(name))
-    return F.struct(*cols)
+    return {name: values.get(name, F.lit(None)).cast(types.get(name, "string")) for name in RESULT_FIELDS}
 
 
-def _empty_result(is_risk: Column, text: Column) -> Column:
+def _empty_result(is_risk: Column, text: Column) -> dict[str, Column]:
     """R6."""
     return _result(
         success=F.lit(False),
@@ -156,7 +175,7 @@ def _empty_result(is_risk: Column, text: Column) -> Column:
     )
 
 
-def _risk_result(text: Column) -> Column:
+def _risk_result(text: Column) -> dict[str, Column]:
     state, failed = F.col("_r_state"), F.col("_r_state") == "error"
     fallback = state == "fallback"
     return _result(
@@ -171,7 +190,7 @@ def _risk_result(text: Column) -> Column:
     )
 
 
-def _pii_result(text: Column) -> Column:
+def _pii_result(text: Column) -> dict[str, Column]:
     state, failed = F.col("_p_state"), F.col("_p_state") == "error"
     return _result(
         success=~failed,

@@ -112,7 +112,7 @@ SELECT id, state IN ('ok', 'fallback'), CASE WHEN state <> 'error' THEN 'pii' EN
 
 
 def results(spark, sf):
-    parsed = ro.flatten_results(ro.parse_responses(fixture(spark, sf, "responses_fx")))
+    parsed = ro.parsed_fields(fixture(spark, sf, "responses_fx"))
     return parsed.drop("response").withColumns(
         {"macro_risks": F.array_join("macro_risks", "|"), "pii_types": F.array_join("pii_types", "|")}
     )
@@ -182,7 +182,7 @@ def r5_patterns(spark, sf):
 FROM results WHERE type = 'risk' GROUP BY 1""",
 )
 def r7(spark, sf):
-    parsed = ro.flatten_results(ro.parse_responses(fixture(spark, sf, "responses_fx")))
+    parsed = ro.parsed_fields(fixture(spark, sf, "responses_fx"))
     return (
         parsed.where("type = 'risk'")
         .groupBy(F.size("macro_risks").cast("bigint").alias("n_risks"))
@@ -196,4 +196,4 @@ CAST(count(*) FILTER (WHERE type = 'pii') AS BIGINT) AS pii_texts, CAST(count(*)
 
 @query("a1_batch_summary", A1_SQL)
 def a1(spark, sf):
-    return rp.batch_summary(ro.flatten_results(ro.parse_responses(fixture(spark, sf, "responses_fx"))))
+    return rp.batch_summary(ro.parsed_fields(fixture(spark, sf, "responses_fx")))

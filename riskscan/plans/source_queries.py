@@ -142,7 +142,7 @@ def s7(spark, sf):
 
 @query("s8_write_results", A1_SQL)
 def s8(spark, sf):
-    results = ro.flatten_results(ro.parse_responses(fixture(spark, sf, "responses_fx")))
+    results = ro.parsed_fields(fixture(spark, sf, "responses_fx"))
     _, summary = wr.write_results(results, wr.scratch_dir(spark))
     return spark.read.json(summary)
 

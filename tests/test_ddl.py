@@ -59,3 +59,14 @@ def test_catalog_agrees_with_statements(spark):
     for row in _analyzed(spark)[:4]:
         assert by_id[row["stmt_id"]]["overall_classification"] == row["overall_classification"]
         assert by_id[row["stmt_id"]]["compliance_flags"] == row["compliance_flags"]
+
+
+def test_the_class_alone_makes_no_findings(spark):
+    """D10 needs a few bits a column: no reasoning, explanations or types."""
+    df = spark.createDataFrame([(1, "CREATE TABLE t (ssn INT, title TEXT)"), (2, None)], "stmt_id int, ddl string")
+    analyzed = dd.analyze_ddl(df)
+    assert [tuple(r) for r in analyzed.select("overall_classification", "requires_human_review", "compliance_flags").collect()] == [
+        ("PC3", True, ["REQUIRES_GDPR_REVIEW", "REQUIRES_CCPA_REVIEW", "REQUIRES_DPO_APPROVAL"]), ("PC0", False, []),
+    ]
+    plan = analyzed.select("stmt_id", "overall_classification")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Check if related" not in plan and "suggests" not in plan and "VARCHAR(255)" not in plan

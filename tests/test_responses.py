@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskscan.functions import responses as rs
+from riskscan.operators import report as rp
 from riskscan.operators import responses as ro
 
 CASES = [
@@ -45,6 +46,15 @@ def test_filter_on_a_result_keeps_the_plan_small(spark):
     assert size[0] < 1.5 * size[1]
 
 
+def test_counts_look_for_no_risks_or_types(spark):
+    """The batch summary needs how each response was read, not what it says."""
+    df = spark.createDataFrame([("risk", "x", "{}")], "type string, text string, response string")
+    plan = rp.batch_summary(ro.parsed_fields(df))._jdf.queryExecution().optimizedPlan().toString()
+    whole = ro.parsed_fields(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in whole and "regexp_extract_all" not in plan
+    assert len(plan) < len(whole) / 3
+
+
 def test_patterns_run_where_their_fixed_part_occurs(spark):
     fixed = [rs._must_hold(p) for p in rs.RISK_PATTERNS]
     assert fixed == ["macro", "risk", "risk", "risk", "-", "", "issue", "include", "involvin", "with"]
