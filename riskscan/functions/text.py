@@ -134,3 +134,25 @@ def format_label(key: Column, name: Column) -> Column:
 def label_key(label: Column) -> Column:
     """P15. The part before the first dot, trimmed."""
     return btrim_u(F.substring_index(label, ".", 1))
+
+
+# Only what the strict parser takes, but for repeated names.
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def parse_json(value: Column) -> Column:
+    """A JSON text as a VARIANT, null where it is malformed; of names that an object repeats the last one counts.
+
+    The strict parser rejects repeated names.  Only then the members are read one by one and the object is
+    written anew without those that come again.  Repeated names further down stay malformed.
+    """
+
+    def last_ones(found: Column) -> Column:
+        later = lambda e, i: F.exists(F.slice(found, i + 2, F.size(found)), lambda other: other["key"] == e["key"])
+        return F.filter(found, lambda e, i: ~later(e, i))
+
+    members = F.map_entries(F.from_json(value, "map<string,variant>", STRICT_JSON))
+    again = bind(members, lambda found: bind(last_ones(found), lambda last: F.when(
+        F.size(last) < F.size(found), F.to_json(F.map_from_entries(last))
+    )))
+    return F.coalesce(F.try_parse_json(value), F.try_parse_json(again))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from riskscan.functions.prompts import MESSAGE_TYPE, ddl_chat, inference_prompt, pii_chat, risk_chat
 from riskscan.taxonomy import DEFAULT, Taxonomy
 
-RANK_BITS = 16
+#: Leading bits of a hash that are counted at a time, and rows that are few enough to be put in order.
+RANK_BITS, FEW_ROWS = 16, 1 << 16
 
 
 def union_examples(*tables: DataFrame) -> DataFrame:
@@ -53,17 +54,18 @@ def add_prompts(texts: DataFrame, text: str = "text", kind: str = "type", taxono
     return texts.withColumn("prompt", inference_prompt(F.col(kind), F.col(text), taxonomy))
 
 
-def split_examples(df: DataFrame, id_col: str, train: float = 0.9, seed: int = 0, exact: bool = False) -> DataFrame:
+def split_examples(df: DataFrame, id_col: str, train: float = 0.9, seed: int = 0, exact: bool = False,
+                   order: Column | None = None) -> DataFrame:
     """G8. Adds ``split`` (train / eval) in a repeatable random order of the unique ``id_col``.
 
     The plain form decides each row by its hash: no shuffle, sizes correct on
-    average.  ``exact=True`` puts exactly floor(train * n) rows into train.  Two
-    scans of the ids alone find the last row that goes there: the first counts rows by
-    the leading bits of their hash, which tells the one prefix that holds the cut; the
-    second orders the hashes of that prefix (one row in 65,536) up to the cut.  Then
-    each row is compared with that one, where it lies: nothing else is moved.
+    average.  ``exact=True`` puts exactly floor(train * n) rows into train.  Scans of the
+    ids alone find the last row that goes there: each counts rows by the next leading
+    bits of their hash, which tells the one prefix that holds the cut, until that has few rows;
+    these are put in order up to the cut.  Then each row is compared with the last one, where it
+    lies: nothing else is moved.  ``order`` is another long, as good as random, to go by (as an unsigned number).
     """
-    order = F.xxhash64(F.col(id_col), F.lit(seed))
+    order = F.xxhash64(F.col(id_col), F.lit(seed)) if order is None else order
     if not exact:
         return df.withColumn("split", F.when(F.pmod(order, F.lit(10_000)) < int(train * 10_000), "train").otherwise("eval"))
     last = _last_in_train(df.select(order.alias("_order"), F.col(id_col).alias("_id")), train)
@@ -79,15 +81,20 @@ def split_examples(df: DataFrame, id_col: str, train: float = 0.9, seed: int = 0
 
 def _last_in_train(ids: DataFrame, train: float) -> Row | None:
     """The last of floor(train * n) rows (_order, _id) by unsigned hash, then id."""
-    prefix = F.shiftrightunsigned("_order", 64 - RANK_BITS)
-    # at most 2^16 rows
-    counts = sorted(tuple(r) for r in ids.groupBy(prefix.alias("_prefix")).agg(F.count("*")).collect())
-    wanted, before = int(train * sum(n for _, n in counts)), 0
+    n = ids.count()
+    wanted, known, prefix = int(train * n), 0, F.lit(0).cast("long")
     if not wanted:
         return None
-    for holds, n in counts:
-        if before + n >= wanted:
-            break
-        before += n
-    inside = ids.where(prefix == holds).orderBy("_order", "_id")  # within a prefix, signed order is unsigned order
-    return inside.offset(wanted - before - 1).limit(1).first()
+    while n > FEW_ROWS and known < 64:
+        known = min(64, known + RANK_BITS)
+        prefix = F.shiftrightunsigned("_order", 64 - known) if known < 64 else F.col("_order")
+        # at most 2 ** RANK_BITS rows; within a longer prefix, signed order is unsigned order
+        counts = sorted(tuple(r) for r in ids.groupBy(prefix.alias("_prefix")).agg(F.count("*")).collect())
+        for holds, n in counts:
+            if n >= wanted:
+                break
+            wanted -= n
+        ids = ids.where(prefix == holds)
+    # by prefix first, since only inside one are signed numbers in unsigned order
+    sign = F.shiftrightunsigned("_order", 63)
+    return ids.orderBy(sign, "_order", "_id").offset(wanted - 1).limit(1).first()

@@ -35,16 +35,21 @@ def batch_summary(results: DataFrame) -> DataFrame:
 
 def extraction_summary(examples: DataFrame) -> DataFrame:
     """A2 / S7. One row of counts over examples."""
+    return examples.agg(*extraction_counts())
+
+
+def extraction_counts() -> list[Column]:
+    """A2, the counts themselves."""
     with_l2 = F.col("l2_category") != tx.UNKNOWN
     with_risks = F.col("macro_risks") != F.array(F.lit(tx.UNSPECIFIED))
-    return examples.agg(
+    return [
         F.count("*").alias("total_training_examples"),
         F.count_if(F.col("type") == "risk").alias("risk_examples"),
         F.count_if(F.col("type") == "pii").alias("pii_examples"),
         F.count_if(with_l2).alias("with_l2"),
         F.count_if(with_risks).alias("with_risks"),
         F.count_if(with_l2 & with_risks).alias("complete"),
-    )
+    ]
 
 
 def field_stats(raw: DataFrame, text: Column) -> DataFrame:

@@ -19,7 +19,7 @@ from riskscan.functions.responses import (
     types_in_text,
     with_field,
 )
-from riskscan.functions.text import btrim_u, label_key
+from riskscan.functions.text import btrim_u, label_key, parse_json
 from riskscan.operators.common import pin
 from riskscan.taxonomy import DEFAULT, Taxonomy, str_array
 
@@ -66,7 +66,7 @@ def parsed_fields(
     staged = (
         df.withColumn("_raw", raw)
         .withColumn("_empty", btrim_u(F.col("_raw")) == "")
-        .withColumn("_json", F.try_parse_json(extract_json(F.col("_raw"))))
+        .withColumn("_json", parse_json(extract_json(F.col("_raw"))))
     )
     staged, fields, states = _states(staged, is_risk, taxonomy)
     staged = pin(staged, states)

@@ -172,6 +172,17 @@ def g8(spark, sf):
     return by_id.groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("split") != F.col("other")).alias("in_both"))
 
 
+@query(
+    "g8_split_by_digest",
+    """SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15), o_orderkey)
+  <= floor(count(*) OVER () * 0.9) THEN 'train' ELSE 'eval' END AS split FROM orders""",
+)
+def g8_digest(spark, sf):
+    """Every id in its part: an exact split in the order of a digest that other engines have too."""
+    digest = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string").cast("binary")), 1, 15), 16, 10).cast("long")
+    return ch.split_examples(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", exact=True, order=digest)
+
+
 @query("g8_split_hash", "SELECT o_orderkey FROM orders")
 def g8_hash(spark, sf):
     """Both parts together are the whole table, without overlap."""

@@ -136,7 +136,7 @@ def s6(spark, sf):
 )
 def s7(spark, sf):
     raw = fixture(spark, sf, "findings_fx")
-    path = wr.write_extraction_summary(fd.raw_to_examples(raw), wr.scratch_dir(spark), raw)
+    _, path = wr.write_extraction(raw, fd.raw_to_examples, wr.scratch_dir(spark))
     return spark.read.json(path)
 
 

@@ -12,7 +12,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskscan.functions.text import DESCRIPTION_FIELDS, L2_FIELDS, RISK_FIELDS, TITLE_FIELDS, btrim_u
+from riskscan.functions.text import DESCRIPTION_FIELDS, L2_FIELDS, RISK_FIELDS, TITLE_FIELDS, btrim_u, parse_json
 from riskscan.operators import findings as fd
 from riskscan.operators.findings import raw_to_examples
 from riskscan.operators.texts import dedupe_texts
@@ -268,7 +268,7 @@ def _typed(table: DataFrame, names: list[str]) -> DataFrame:
 
 def parse_examples(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """S3 over a ``value`` column: (examples in EXAMPLE_SCHEMA, rejected lines). Blank lines vanish."""
-    filled = lines.where(btrim_u(F.col("value")) != "").withColumn("_v", F.try_parse_json("value"))
+    filled = lines.where(btrim_u(F.col("value")) != "").withColumn("_v", parse_json(F.col("value")))
     is_object = F.coalesce(F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")), F.lit(False))
     rest = [c for c in lines.columns if c != "value"]
     good = filled.where(is_object).withColumn("_e", F.from_json("value", EXAMPLE_SCHEMA))
@@ -323,7 +323,7 @@ def _entry_texts(entries: DataFrame, entry: str) -> DataFrame:
 
 def texts_from_jsonl(lines: DataFrame) -> DataFrame:
     """S4b. One object per line; malformed lines and other JSON drop out."""
-    return _entry_texts(lines.select(F.try_parse_json("value").alias("_v")), "_v")
+    return _entry_texts(lines.select(parse_json(F.col("value")).alias("_v")), "_v")
 
 
 def texts_from_json(documents: DataFrame) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from riskscan.operators.report import batch_summary, extraction_summary
+from riskscan.operators.report import batch_summary, extraction_counts, extraction_summary
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -26,21 +27,24 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def write_examples_jsonl(examples: DataFrame, out: str, raw: DataFrame | None = None, mode: str = "errorifexists") -> str:
-    """S6. One JSON object per line under ``out``/examples.
+    """S6. One JSON object per line under ``out``/examples, counted while they are written.
 
     When there is not a single example the raw rows go to ``out``/raw_backup
     (if given) and an error is raised.
     """
-    if examples.isEmpty():
-        if raw is not None:
-            raw.write.mode(mode).json(f"{out}/raw_backup")
-        raise ValueError(f"no training examples; raw rows are in {out}/raw_backup" if raw is not None
-                         else "no training examples")
-    path = f"{out}/examples"
-    examples.write.mode(mode).json(path)
+    path, written = f"{out}/examples", Observation()
+    examples.observe(written, F.count("*").alias("n")).write.mode(mode).json(path)
+    if not written.get["n"]:
+        _keep_raw(raw, out, mode)
     return path
 
 
+def _keep_raw(raw: DataFrame | None, out: str, mode: str) -> None:
+    if raw is not None:
+        raw.write.mode(mode).json(f"{out}/raw_backup")
+    raise ValueError(f"no training examples; raw rows are in {out}/raw_backup" if raw is not None else "no training examples")
+
+
 def write_extraction_summary(examples: DataFrame, out: str, raw: DataFrame, mode: str = "errorifexists") -> str:
     """S7. One JSON row of counts; files and raw rows are counted in ``raw``, by its ``source_file`` where it has one."""
     path = f"{out}/extraction_summary"
@@ -51,6 +55,29 @@ def write_extraction_summary(examples: DataFrame, out: str, raw: DataFrame, mode
     return path
 
 
+def write_extraction(raw: DataFrame, to_examples: Callable[[DataFrame], DataFrame], out: str,
+                     mode: str = "errorifexists") -> tuple[str, str]:
+    """S6 and S7 in one pass over ``raw``: (examples path, summary path).
+
+    Rows and files are counted as they go in and examples as they come out, while the
+    examples are written.  ``to_examples`` must leave rows where they lie (as `raw_to_examples`
+    does), so that a task that is run again is counted once.  A driver-side set holds the names of the files.
+    """
+    into, outof = Observation(), Observation()
+    named = "source_file" in raw.columns
+    files = F.collect_set("source_file") if named else F.collect_set(F.lit("raw"))
+    seen = raw.observe(into, F.count("*").alias("n"), files.alias("files"))
+    examples = to_examples(seen)
+    path, summary = f"{out}/examples", f"{out}/extraction_summary"
+    examples.observe(outof, *extraction_counts()).write.mode(mode).json(path)
+    counts = outof.get
+    if not counts["total_training_examples"]:
+        _keep_raw(raw, out, mode)
+    row = {"total_files_processed": len(into.get["files"]), "total_raw_entries": into.get["n"], **counts}
+    raw.sparkSession.createDataFrame([tuple(row.values())], ", ".join(f"{name} long" for name in row)).write.mode(mode).json(summary)
+    return path, summary
+
+
 def write_results(results: DataFrame, out: str, fmt: str = "parquet", mode: str = "errorifexists") -> tuple[str, str]:
     """S8. (results path, summary path): the result table and its one-row count.
 

@@ -64,3 +64,16 @@ def test_patterns_run_where_their_fixed_part_occurs(spark):
     trimmed = F.filter(F.transform(plain, lambda m: F.btrim(m)), lambda m: F.length(m) >= 4)
     for row in df.select(rs.risks_in_text(F.col("t")).alias("found"), trimmed.alias("plain")).collect():
         assert row["found"] == row["plain"]
+
+
+def test_the_last_of_repeated_names_counts(spark):
+    rows = [
+        ("risk", '{"l2_category": "1. Operating Model & Risk Management", "l2_category": "5. Protect Data", "macro_risks": ["x"], "macro_risks": ["Data Loss Prevention"]}'),
+        ("pii", '{"pc_category": "PC0", "pii_types": [], "pc_category": "PC1"}'), ("pii", '{"pii_types": ["SSN"], "pii_types": null}'),
+    ]
+    df = spark.createDataFrame([(i, k, r, "t") for i, (k, r) in enumerate(rows)], "i int, type string, response string, text string")
+    found = [tuple(r) for r in ro.parsed_fields(df).orderBy("i").select("success", "l2_category", "macro_risks", "pc_category", "pii_types", "parsing_method").collect()]
+    assert found[:2] == [
+        (True, "5. Protect Data", ["Data Loss Prevention"], None, None, "json"), (True, None, None, "PC1", [], "json"),
+    ]
+    assert found[2][0] is False and found[2][5] is None  # the last value is null, which is an error

@@ -164,3 +164,39 @@ def test_split_files_and_a_table_of_files_beyond_broadcast(spark, tmp_path, monk
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_an_extraction_reads_its_input_once(spark, tmp_path):
+    folder = write_csv(tmp_path, a="Title,L2\nOpen port here,7\n##,5\n", b="Title,Risks\nWeak disk keys,Authentication\n")
+    raw = rd.read_csv_findings(spark, folder)
+    reads = spark.sparkContext.accumulator(0)
+    counted = raw.rdd.map(lambda r: (reads.add(1), tuple(r))[1]).toDF(raw.schema)
+    examples_of = lambda df: fd.raw_to_examples(df, keep=["source_file"]).drop("source_file")
+    path, summary = wr.write_extraction(counted, examples_of, str(tmp_path / "out"))
+    assert reads.value == 3
+    row = spark.read.json(summary).first().asDict()
+    examples = rd.load_examples(spark, path)
+    expected = wr.extraction_summary(examples).first().asDict()
+    assert row == {"total_files_processed": 2, "total_raw_entries": 3, **expected} and expected["total_training_examples"] >= 2
+    with pytest.raises(ValueError):
+        wr.write_extraction(raw.where("Title = '##'").drop("L2"), examples_of, str(tmp_path / "none"))
+    assert spark.read.json(str(tmp_path / "none" / "raw_backup")).count() == 1
+
+
+def test_the_last_of_repeated_names_counts(spark, tmp_path):
+    lines = [
+        '{"text": "a", "text": "b"}', '{"text": "c", "description": "d", "text": null, "description": "e"}', '{"content": 1, "content": "ü\\n"}',
+        "{'text': 'x', 'text': 'y'}", '{"text": "x", "text": "y"', '{"text": "z"}', '{"description": "p", "text": "", "text": "q", "x": {"k": [1]}}',
+    ]
+    expected = []
+    for line in lines:
+        try:
+            entry = json.loads(line)
+        except json.JSONDecodeError:
+            continue
+        value = next((entry[k] for k in ("text", "description", "content") if k in entry), None)
+        expected += [value] if value else []
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    assert sorted(r["text"] for r in rd.texts_from_jsonl(df).collect()) == sorted(expected)
+    good, bad = rd.parse_examples(spark.createDataFrame([('{"type": "risk", "text": "a", "text": "b"}',), ("{'type': 1}",)], "value string"))
+    assert [r["text"] for r in good.collect()] == ["b"] and bad.count() == 1

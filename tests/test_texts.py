@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskscan.functions import classify as cl
 from riskscan.functions import text as tx
+from riskscan.operators import chat as chats
 from riskscan.operators import texts as tt
 from riskscan.taxonomy import DEFAULT
 
@@ -103,3 +104,22 @@ def test_rules_run_on_a_stream(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert {(r["text"], r["type"]) for r in spark.table("routed").collect()} == {("weak authentication", "risk"), ("my ssn", "pii")}
+
+
+def test_exact_split_goes_on_to_further_bits(spark, monkeypatch):
+    """Few bits at a time, few rows to order, many equal hashes: the same split as by sorting."""
+    monkeypatch.setattr(chats, "RANK_BITS", 3)
+    monkeypatch.setattr(chats, "FEW_ROWS", 5)
+    df = spark.range(3000).withColumnRenamed("id", "key")
+    orders = {
+        "hash": F.xxhash64("key", F.lit(0)), "few": F.pmod(F.xxhash64("key"), F.lit(3)) - 1, "one": F.lit(-5).cast("long"),
+        "close": (F.col("key") % 700) * 2 + F.lit(1 << 62),
+    }
+    for name, order in orders.items():
+        rows = df.select("key", order.alias("o")).collect()
+        ranked = sorted(rows, key=lambda r: (r["o"] % (1 << 64), r["key"]))
+        for share in (0.9, 0.31, 0.0005, 1.0):
+            split = chats.split_examples(df, "key", share, exact=True, order=order)
+            train = {r["key"] for r in split.where("split = 'train'").collect()}
+            assert train == {r["key"] for r in ranked[:int(share * 3000)]}, (name, share)
+    assert chats.split_examples(df.limit(0), "key", exact=True).count() == 0
