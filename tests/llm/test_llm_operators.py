@@ -3,7 +3,7 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
@@ -570,6 +570,39 @@ def test_runs_of_fifty_words_on_are_found_whole(spark):
     assert dedup(documents(spark, [(i, t, "en", "a") for i, t in rows])) == want
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_repeated_runs_equal_brute_force(spark, seed):
+    """Every earlier place of every line, extended line by line; few lines, so that they repeat in many ways."""
+    rng = random.Random(seed)
+    pool = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice([1, 2, 5, 9, 30, 70]))) for _ in range(12)] + [""]
+    runs = [[rng.choice(pool) for _ in range(rng.randint(2, 12))] for _ in range(6)]
+    docs = [sum((rng.choice([rng.choice(runs), [rng.choice(pool)]]) for _ in range(rng.randint(1, 7))), []) for _ in range(30)]
+    weigh = lambda line: max(1, len(line.split()))
+    want = {}
+    for d, lines in enumerate(docs):
+        gone = set()
+        for at in range(len(lines)):
+            for e, earlier in enumerate(docs[:d + 1]):
+                for start in range(len(earlier) if e < d else at):
+                    n = 0
+                    while at + n < len(lines) and start + n < len(earlier) and lines[at + n] == earlier[start + n]:
+                        n += 1
+                    if sum(map(weigh, lines[at:at + n])) >= 50:
+                        gone.update(range(at, at + n))
+        want[d] = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+    assert dedup(documents(spark, [(i, "\n".join(lines), "en", "a") for i, lines in enumerate(docs)])) == want
+
+
+def test_most_lines_are_winnowed_out(spark):
+    """Only what shares a fingerprint is looked at as a run."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    grams = linededup.grams_of_lines(df, 50).select("*", "least.print", "least.at").collect()
+    prints = {(r["_spot"], r["print"], r["at"]) for r in grams}
+    places = Counter(p for _, p, _ in prints)
+    matched = sum(places[r["print"]] > 1 for r in grams)
+    assert len(prints) < len(grams) and 0 < matched < len(grams) / 2
+
+
 def test_lines_on_odd_rows(odd, empty):
     rows = linededup.without_repeats(odd).collect()
     assert len(rows) == odd.count() and linededup.without_repeats(odd).columns == odd.columns
