@@ -304,6 +304,43 @@ def test_languages_are_told_apart_on_held_out_documents(spark):
     assert share[0] > 0.97 and share[1] < 0.03
 
 
+def test_only_letters_tell_a_language():
+    assert [langid.letters(t) for t in ("½ ²", "x² ⅷ 三 ٣", "Ⅷ", "a_b1c", "É\u0301t\u00e9")] == ["", "x 三", "", "a b c", "é t\u00e9"]
+    assert langid.judge("½ ² ٣ _", (("en", b"the ", (b"the ",)),), 0.01) == ("und", 0.0, True)
+    every = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not 0xD800 <= ord(c) < 0xE000)
+    assert langid.letters(every) == ""
+
+
+def test_many_languages_share_the_budget(spark):
+    """200 languages, and labels that stand once: bounded dictionaries, and every language is told apart."""
+    rng = random.Random(8)
+    words = {f"l{i:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40)] for i in range(200)}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(60)), lang, "a") for i, lang in enumerate([*words] * 4)]
+    rows += [(5000 + i, "stray label", f"stray{i}", "a") for i in range(100)]
+    df = documents(spark, rows)
+    lessons = langid.learn(df, F.lit(True), total_bytes=300 * 500, sample_total=600)
+    assert len(lessons) == 300 and max(len(words) for _, words, _ in lessons) <= 500
+    assert len(langid.learn(df, F.lit(True), sample_total=200)) == 200
+    judged = [langid.judge(t, lessons, 0.01)[0] == lang for _, t, lang, _ in rows[::16][:50]]
+    assert sum(judged) >= 48
+
+
+def test_every_row_is_judged_by_the_learned_lessons(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lessons = langid.learn(df, ~langid.held_out(F.col("doc_id")))
+    found = {r["doc_id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in langid.identify(df).collect()}
+    again = {i: langid.judge(t, lessons, 0.01) for i, t in df.select("doc_id", "text").collect()}
+    assert found == again
+
+
+def test_short_texts_are_seldom_rejected(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lessons = langid.learn(df, F.lit(True))
+    cut = [(" ".join(t.split()[:4])[:20], lang) for t, lang in df.where("lang is not null").select("text", "lang").limit(400).collect() if langid.letters(t)]
+    judged = [(langid.judge(t, lessons, 0.01), lang) for t, lang in cut if langid.letters(t)]
+    assert sum(r[2] for r, _ in judged) <= 0.1 * len(judged)
+
+
 def test_languages_on_odd_rows(odd, empty):
     rows = langid.identify(odd).collect()
     assert len(rows) == odd.count()
