@@ -19,6 +19,7 @@ from riskscan.plans.response_queries import A1_SQL
 from riskscan.plans.text_queries import meaningful_sql
 from riskscan.sources import readers as rd
 from riskscan.sources import writers as wr
+from riskscan.sources.json_arrays import entries_of_json_files
 
 
 @query(
@@ -109,6 +110,26 @@ def s3(spark, sf):
     return counted.unionAll(rest)
 
 
+@query(
+    "s4c_json_entries",
+    """SELECT 'order } "' || CAST(o_orderkey AS VARCHAR) || '" [' AS text FROM orders WHERE o_orderkey % 5 <> 0
+UNION ALL SELECT 'note {' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 5 = 0""",
+)
+def s4c_entries(spark, sf):
+    """JSON arrays of one line each, with entries that are no objects, cut into their entries where they lie."""
+    folder = wr.scratch_dir(spark)
+    entry = F.when(F.col("o_orderkey") % 5 != 0, F.to_json(F.struct(
+        F.concat(F.lit('order } "'), F.col("o_orderkey").cast("string"), F.lit('" [')).alias("text"),
+        F.array(F.struct(F.col("o_orderstatus").alias("status"))).alias("more"),
+    ))).otherwise(F.concat(F.lit('5, "}", [{"text": "inner"}], '), F.to_json(F.struct(
+        F.concat(F.lit("note {"), F.col("o_orderkey").cast("string")).alias("content")))))
+    files = table(spark, sf, "orders").groupBy(F.floor(F.col("o_orderkey") / 2000).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(entry), ", "), F.lit("]")).alias("value")
+    )
+    files.write.partitionBy("file").text(folder)  # one line a file
+    return rd.texts_from_entries(entries_of_json_files(spark, f"{folder}/*"))
+
+
 @query(
     "s5_load_examples",
     f"""SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE L2 <> '') AS BIGINT) AS with_l2, CAST(count(Risks) AS BIGINT) AS with_risks

@@ -16,6 +16,7 @@ from riskscan.functions.text import DESCRIPTION_FIELDS, L2_FIELDS, RISK_FIELDS,
 from riskscan.operators import findings as fd
 from riskscan.operators.findings import raw_to_examples
 from riskscan.operators.texts import dedupe_texts
+from riskscan.sources.json_arrays import entries_of_json_files
 from riskscan.sources.writers import scratch_dir
 
 RAW_EXTENSIONS = ("xlsx", "xls", "csv")
@@ -25,6 +26,8 @@ MISSING_CELLS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
     "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
+#: JSON files up to this size are parsed by one task each.
+WHOLE_JSON_BYTES = 1 << 25
 TEXT_NAME_PARTS = ["text", "description", "content", "finding", "detail"]
 TEXT_KEYS = ["text", "description", "content"]
 EMPTY_JSON = ["false", "0", "0.0", "[]", "{}"]
@@ -321,6 +324,11 @@ def _entry_texts(entries: DataFrame, entry: str) -> DataFrame:
     return cells.where(F.col("text").isNotNull() & ~empty).select("text")
 
 
+def texts_from_entries(entries: DataFrame) -> DataFrame:
+    """S4c over parsed entries (_e), such as `entries_of_json_files` gives."""
+    return _entry_texts(entries, "_e")
+
+
 def texts_from_jsonl(lines: DataFrame) -> DataFrame:
     """S4b. One object per line; malformed lines and other JSON drop out."""
     return _entry_texts(lines.select(parse_json(F.col("value")).alias("_v")), "_v")
@@ -328,7 +336,7 @@ def texts_from_jsonl(lines: DataFrame) -> DataFrame:
 
 def texts_from_json(documents: DataFrame) -> DataFrame:
     """S4c. Each ``value`` is a whole JSON document: one object or an array of objects."""
-    parsed = documents.select(F.try_parse_json("value").alias("_v"))
+    parsed = documents.select(parse_json(F.col("value")).alias("_v"))
     members = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"), F.array("_v"))
     return _entry_texts(parsed.select(F.explode(members).alias("_e")), "_e")
 
@@ -353,8 +361,11 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
         texts = texts_from_jsonl(spark.read.text(path))
     elif extension == "json":
         # An array may hold entries that are no objects, for which Spark's JSON reader drops the whole
-        # file, so each file is one value; larger inputs belong in JSON lines.
-        texts = texts_from_json(spark.read.text(path, wholetext=True))
+        # file: so a file is one value, or, if it is large, cut into its entries by many tasks.
+        size = F.col("_metadata.file_size")
+        texts = texts_from_json(spark.read.text(path, wholetext=True).where(size <= WHOLE_JSON_BYTES))
+        if not spark.read.format("binaryFile").load(path).where(F.col("length") > WHOLE_JSON_BYTES).select("path").isEmpty():
+            texts = texts.unionByName(texts_from_entries(entries_of_json_files(spark, path, WHOLE_JSON_BYTES)))
     elif extension == "csv":
         texts = texts_from_table(read_csv_findings(spark, path, infer_numbers=False).drop(SOURCE))
     else:

@@ -2,8 +2,10 @@ import json
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskscan.operators import findings as fd
+from riskscan.sources import json_arrays as ja
 from riskscan.sources import readers as rd
 from riskscan.sources import writers as wr
 
@@ -200,3 +202,55 @@ def test_the_last_of_repeated_names_counts(spark, tmp_path):
     assert sorted(r["text"] for r in rd.texts_from_jsonl(df).collect()) == sorted(expected)
     good, bad = rd.parse_examples(spark.createDataFrame([('{"type": "risk", "text": "a", "text": "b"}',), ("{'type': 1}",)], "value string"))
     assert [r["text"] for r in good.collect()] == ["b"] and bad.count() == 1
+
+
+JSON_FILES = [
+    '[{"text": "a"}, 5, "x}{[", {"content": "b } \\"c\\" \\\\"}, [{"text": "inner"}], {"text": {"k": [{}]}}, null, {"description": "d"}]',
+    '{"text": "one } object {", "more": [{"a": {}}]}', '  [ ]  ', "[1, 2]", "[]", '[{"text": "t"}]\n', '\n{"text": "u"}\n\n',
+    '[{"text": "v"}, 7]', '[{"text": "w"}\n,\n{"text": "é"}\n]', '[{"text": "rep", "text": "last"}]', '{"text": "p", "text": "q"}',
+    '[[{"text": "deep"}]]', "{}", "[{}]", "5",
+    # not valid as a whole
+    '[{"text": "bad1"}', '[{"text": "bad2"}, ]', '[{"text": "bad3"} {"text": "bad3"}]', '{"text": "bad4"', '{"text": "bad5"} {"text": "bad5"}',
+    '[{"text": "bad6"}]]', '[{"text": "bad7}]', '[{"text": bad8}, {"text": "bad8"}]', '{"text": "bad9"}]', "", '[{"text": "bad10"}, 5',
+    '[{"text": "bad11"}] x', '[{"text": "bad12"} 5]', ',{"text": "bad13"}',
+]
+
+
+@pytest.mark.parametrize("split", ["9b", "1m"])
+def test_json_files_are_cut_into_their_entries(spark, tmp_path, split):
+    """Any place where a file may be split, against a parser that takes it whole."""
+    expected = []
+    for i, content in enumerate(JSON_FILES):
+        (tmp_path / f"f{i}.json").write_text(content, encoding="utf-8")
+        try:
+            found = json.loads(content)
+        except json.JSONDecodeError:
+            continue
+        expected += [e for e in (found if isinstance(found, list) else [found]) if isinstance(e, dict)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        entries = ja.entries_of_json_files(spark, str(tmp_path))
+        got = [json.loads(r[0]) for r in entries.select(F.to_json("_e")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    order = lambda entries: sorted(json.dumps(e, sort_keys=True) for e in entries)
+    assert order(e for e in got if isinstance(e, dict)) == order(expected)
+
+
+def test_a_large_json_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rd, "WHOLE_JSON_BYTES", 10_000)
+    entries = [{"text": f"entry {i} " + "} {[" * (i % 7), "tags": [{"n": i}]} if i % 9 else i for i in range(5000)]
+    (tmp_path / "large.json").write_text(json.dumps(entries))  # a single line
+    (tmp_path / "small.json").write_text(json.dumps([{"content": "small"}]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        assert ja._chunks(spark, str(tmp_path), 10_000).select("block").distinct().count() > 8
+        got = sorted(r["text"] for r in rd.read_texts(spark, str(tmp_path / "large.json")).collect())
+        assert got == sorted(e["text"] for e in entries if isinstance(e, dict))
+        assert [r["text"] for r in rd.read_texts(spark, str(tmp_path / "small.json")).collect()] == ["small"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
