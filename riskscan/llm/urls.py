@@ -3,7 +3,9 @@
 Fixed rules come first: the longest rule whose host and path prefix fit decides.
 The other urls are judged by the templates of their host.  Variable segments
 (those with digits) become wildcards by shape, and so do segments that are
-rare among their siblings; what is left of a path below ``levels`` is one wildcard.
+rare among their siblings and whose labels do not differ significantly from theirs.  The tree is as deep
+as the deepest labelled path of a host that has labels of both kinds; below that no label
+tells anything apart, and what is left of a path is one wildcard.
 Level by level, sibling branches whose share of blocked urls does not differ
 significantly from that of the other siblings are merged into one.  Every branch has a
 purity, the share of its labelled urls that are blocked, smoothed towards that of
@@ -12,8 +14,7 @@ rejected when its purity reaches ``reject``.  Labels are what the rules say of t
 urls that they fit, or a label column.
 
 Everything is counted by (host, path shape) first, so a host with a third of all
-urls costs one row per task and shape; a branch keeps at most ``1 / min_share``
-literal children.
+urls costs one row per task and shape.  Wildcards hold a slash inside, which no segment does.
 
 Defined results: a url that is null or has no ``://`` has empty host and path, fits
 no rule and is judged as the host ''; nulls in labels are unlabelled; without labels
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from riskscan.llm.common import checkpointed, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WILD, DEEP, MERGED, NOTHING = "*", "**", "~", ""
+WILD, DEEP, MERGED, NOTHING = "/*", "/**", "/~", ""
 
 
 def host_of(url: Column) -> Column:
@@ -57,32 +58,55 @@ def rule_of(rules: Sequence[tuple[str, str]], host: Column, path: Column) -> tup
     return rule, verdict
 
 
-def shape(path: Column, levels: int) -> Column:
-    """The path's segments, those with digits as wildcards; exactly ``levels`` + 1 of them.
-
-    A variable segment keeps its ending, as in ``*.html``; missing levels are empty.
-    """
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    general = F.transform(
-        segments,
+def segments_of(path: Column) -> Column:
+    """The path's segments, those with digits as wildcards that keep their ending, as in ``*.html``."""
+    return F.transform(
+        F.filter(F.split(path, "/"), lambda s: s != ""),
         lambda s: F.when(s.rlike(r"\d"), F.concat(F.lit(WILD), F.regexp_extract(s, r"(\.[a-z]{1,5})$", 1))).otherwise(s),
     )
-    short = F.transform(F.sequence(F.lit(1), F.lit(levels)), lambda i: F.coalesce(F.get(general, i - 1), F.lit(NOTHING)))
-    rest = F.when(F.size(general) > levels, F.lit(DEEP)).otherwise(F.lit(NOTHING))
+
+
+def shape(segments: Column, levels: int) -> Column:
+    """Exactly ``levels`` + 1 segments: missing levels are empty, the last one stands for all below."""
+    short = F.transform(F.sequence(F.lit(1), F.lit(levels)), lambda i: F.coalesce(F.get(segments, i - 1), F.lit(NOTHING)))
+    rest = F.when(F.size(segments) > levels, F.lit(DEEP)).otherwise(F.lit(NOTHING))
     return F.concat(short, F.array(rest))
 
 
-def templates(shapes: DataFrame, levels: int, min_share: float) -> DataFrame:
-    """Adds ``template`` to rows of (host, shape, n): segments rare among their siblings are wildcards."""
+def levels_of(counts: DataFrame) -> int:
+    """How deep labels reach (1 at least), in hosts that have good and bad ones; from (host, segments, good, bad)."""
+    labelled = counts.where("good + bad > 0").groupBy("host").agg(
+        F.max(F.size("segments")).alias("_deep"), F.sum("good").alias("_g"), F.sum("bad").alias("_b")
+    )
+    return max(1, labelled.where("_g > 0 AND _b > 0").agg(F.max("_deep")).first()[0] or 1)
+
+
+def differs(good: Column, bad: Column, all_good: Column, all_bad: Column, z: float) -> Column:
+    """Is a branch's share of bad labels significantly unlike that of its siblings?  One
+    without labels, or with all of them, has nothing to differ from."""
+    n, rest = good + bad, all_good + all_bad - good - bad
+    pooled = all_bad / (all_good + all_bad)
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / rest))
+    return F.when((n > 0) & (rest > 0), F.abs(bad / n - (all_bad - bad) / rest) > z * spread).otherwise(False)
+
+
+def templates(shapes: DataFrame, levels: int, min_share: float, z: float) -> DataFrame:
+    """Adds ``template`` to rows of (host, shape, n, good, bad): segments that are rare and like their siblings are wildcards."""
     rows = shapes.withColumn("template", F.array().cast("array<string>"))
     for level in range(levels):
         child = F.get("shape", F.lit(level))
-        counted = rows.groupBy("host", "template", child.alias("_child")).agg(F.sum("n").alias("_n"))
-        total = counted.groupBy(F.col("host").alias("_h"), F.col("template").alias("_t")).agg(F.sum("_n").alias("_all"))
+        sums = lambda *names: [F.sum(c).alias(name) for c, name in zip(("n", "good", "bad"), names)]
+        counted = rows.groupBy("host", "template", child.alias("_child")).agg(*sums("_n", "_g", "_b"))
+        total = counted.groupBy(F.col("host").alias("_h"), F.col("template").alias("_t")).agg(
+            F.sum("_n").alias("_all"), F.sum("_g").alias("_ag"), F.sum("_b").alias("_ab")
+        )
+        own = (
+            (F.col("_n") >= min_share * F.col("_all")) | F.col("_child").startswith(WILD) | (F.col("_child") == NOTHING)
+            | differs(F.col("_g"), F.col("_b"), F.col("_ag"), F.col("_ab"), z)
+        )
         common = (
             counted.join(total, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")))
-            .where((F.col("_n") >= min_share * F.col("_all")) | F.col("_child").startswith(WILD) | (F.col("_child") == NOTHING))
-            .select("_h", "_t", "_child")
+            .where(own).select("_h", "_t", "_child")
         )
         rows = (
             rows.withColumn("_seg", child)
@@ -115,12 +139,7 @@ def purities(counted: DataFrame, levels: int, smoothing: float, z: float) -> Dat
         above = child.groupBy(F.col("host").alias("_h"), F.col("branch").alias("_t")).agg(
             F.sum("_g").alias("_ag"), F.sum("_b").alias("_ab")
         )
-        n, rest = F.col("_g") + F.col("_b"), F.col("_ag") + F.col("_ab") - F.col("_g") - F.col("_b")
-        pooled = F.col("_ab") / (F.col("_ag") + F.col("_ab"))
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / rest))
-        apart = F.abs(F.col("_b") / n - (F.col("_ab") - F.col("_b")) / rest) > z * spread
-        # a branch without labels, or with all of them, has nothing to differ from
-        own = F.when((n > 0) & (rest > 0), apart).otherwise(False)
+        own = differs(F.col("_g"), F.col("_b"), F.col("_ag"), F.col("_ab"), z)
         named = child.join(above, (F.col("host") == F.col("_h")) & (F.col("branch") == F.col("_t"))).select(
             "_h", "_t", "_seg", "_g", "_b", (F.col("_ag") + F.col("_ab")).alias("_above"), F.when(own, F.col("_seg")).otherwise(F.lit(MERGED)).alias("_name")
         )
@@ -148,10 +167,10 @@ def purities(counted: DataFrame, levels: int, smoothing: float, z: float) -> Dat
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[tuple[str, str]], label: Column | None = None, levels: int = 3,
+    pages: DataFrame, rules: Sequence[tuple[str, str]], label: Column | None = None,
     min_share: float = 0.02, smoothing: float = 4.0, z: float = 1.96, reject: float = 0.8,
 ) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, template, purity.
+    """One row per page: page_id, host, path, rule, verdict, template, branch, purity.
 
     ``label`` (true: blocked) adds to what the rules say where it is not null.
     """
@@ -160,18 +179,22 @@ def judge(
     blocked = F.coalesce(decided == "block", label if label is not None else F.lit(None).cast("boolean"))
     read = pages.select(
         F.col("page_id"), host.alias("host"), path.alias("path"), rule.alias("rule"), decided.alias("_decided"),
-        shape(path, levels).alias("shape"), blocked.alias("_blocked"),
+        segments_of(path).alias("segments"), blocked.alias("_blocked"),
     )
-    shapes = read.groupBy("host", "shape").agg(
+    counts = written(read.groupBy("host", "segments").agg(
         F.count("*").alias("n"), F.count_if(F.col("_blocked")).alias("bad"), F.count_if(~F.col("_blocked")).alias("good")
+    ), "url-paths")
+    levels = levels_of(counts)
+    shapes = counts.groupBy("host", shape(F.col("segments"), levels).alias("shape")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "bad", "good")]
     )
-    known = written(templates(written(shapes, "url-shapes"), levels, min_share), "url-templates")
+    known = written(templates(shapes, levels, min_share, z), "url-templates")
     judged = written(purities(known, levels, smoothing, z), "url-purities")
     by_shape = known.join(judged, ["host", "template"]).select(
         F.col("host").alias("_h"), F.col("shape").alias("_s"), "template", "branch", "purity"
     )
     verdict = F.coalesce("_decided", F.when(F.col("purity") >= reject, "block").otherwise("allow"))
-    return read.join(by_shape, (F.col("host") == F.col("_h")) & (F.col("shape") == F.col("_s"))).select(
-        "page_id", "host", "path", "rule", verdict.alias("verdict"), F.array_join("template", "/").alias("template"),
-        F.array_join("branch", "/").alias("branch"), "purity",
+    shown = lambda name: F.array_join(F.transform(name, lambda s: F.regexp_replace(s, "^/", "")), "/").alias(name)
+    return read.join(by_shape, (F.col("host") == F.col("_h")) & (shape(F.col("segments"), levels) == F.col("_s"))).select(
+        "page_id", "host", "path", "rule", verdict.alias("verdict"), shown("template"), shown("branch"), "purity",
     )

@@ -1,7 +1,9 @@
 """The training-data operators against brute force, and on odd input."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -252,6 +254,88 @@ def test_templates_learn_from_labels(spark):
     assert {r["template"].split("/")[0] for r in rows if "post" in r["path"]} == {"*"}
 
 
+def test_a_rare_blocked_section_stays_literal(spark):
+    """One of sixty sections, under two percent of the urls, is blocked as a whole."""
+    sections = [f"sec{a}{b}" for a in "abcdefgh" for b in "abcdefgh"][:60]
+    found = page_rows(spark, [f"x://h.net/{s}/{'y' * (i % 7)}x{i}" for s in sections for i in range(100)])
+    label = F.when(F.col("page_id") % 2 == 0, F.col("url").contains("/secaa/"))
+    rows = urls.judge(found, [], label).collect()
+    assert {r["verdict"] for r in rows if "/secaa/" in r["path"]} == {"block"}
+    assert {r["verdict"] for r in rows if "/secaa/" not in r["path"]} == {"allow"}
+
+
+def test_levels_follow_the_deepest_labels(spark):
+    found = page_rows(spark, [f"x://h.net/a/b/c/{kind}/{i}" for kind in ("bad", "ok") for i in range(60)])
+    label = F.when(F.col("page_id") % 2 == 0, F.col("url").contains("/bad/"))
+    rows = urls.judge(found, [], label).collect()
+    assert all((r["verdict"] == "block") == ("/bad/" in r["path"]) for r in rows)
+
+
+def plain_judge(found, min_share=0.02, smoothing=4.0, z=1.96, reject=0.8):
+    """The same on a list of (host, path, label), in plain Python: (verdict, template) of each."""
+    general = lambda s: "/*" + (re.search(r"(\.[a-z]{1,5})$", s) or [""])[0] if re.search("[0-9]", s) else s
+    rows = [(host, tuple(general(s) for s in path.split("/") if s), label) for host, path, label in found]
+    kinds = defaultdict(set)
+    for host, _, label in rows:
+        kinds[host].add(label)
+    deep = [len(s) for host, s, label in rows if label is not None and {True, False} <= kinds[host]]
+    levels = max([1, *deep])
+    shaped = [(h, (*s[:levels], *[""] * (levels - len(s)), "/**" if len(s) > levels else ""), label) for h, s, label in rows]
+
+    def counts(keys):
+        out = defaultdict(lambda: [0, 0, 0])
+        for key, (_, _, label) in zip(keys, shaped):
+            for i, hit in enumerate((True, label is False, label is True)):
+                out[key][i] += hit
+        return out
+
+    def differs(own, every):
+        n, rest = own[1] + own[2], every[1] + every[2] - own[1] - own[2]
+        if not n or not rest:
+            return False
+        pooled = every[2] / (every[1] + every[2])
+        return abs(own[2] / n - (every[2] - own[2]) / rest) > z * math.sqrt(pooled * (1 - pooled) * (1 / n + 1 / rest))
+
+    names = [(h,) for h, _, _ in shaped]
+    for level in range(levels):
+        child, above = counts([(t, s[level]) for t, (_, s, _) in zip(names, shaped)]), counts(names)
+        keeps = lambda t, c: (child[t, c][0] >= min_share * above[t][0] or c[:2] == "/*" or c == "" or differs(child[t, c], above[t]))
+        names = [(*t, s[level] if keeps(t, s[level]) else "/*") for t, (_, s, _) in zip(names, shaped)]
+    names = [(*t, s[levels]) for t, (_, s, _) in zip(names, shaped)]
+    labels = counts([0] * len(shaped))[0]
+    prior = labels[2] / (labels[1] + labels[2]) if labels[1] + labels[2] else 0.0
+    branches = [(t[0],) for t in names]
+    of = counts(branches)
+    purity = [(of[b][2] + smoothing * prior) / (of[b][1] + of[b][2] + smoothing) for b in branches]
+    for level in range(levels + 1):
+        child, above = counts([(b, t[level + 1]) for b, t in zip(branches, names)]), counts(branches)
+        grown = [(*b, t[level + 1] if differs(child[b, t[level + 1]], above[b]) else "/~") for b, t in zip(branches, names)]
+        own = counts(grown)
+        for i, (b, g) in enumerate(zip(branches, grown)):
+            n = own[g][1] + own[g][2]
+            if n != above[b][1] + above[b][2]:
+                purity[i] = (own[g][2] + smoothing * purity[i]) / (n + smoothing)
+        branches = grown
+    shown = lambda t: "/".join(s[1:] if s[:1] == "/" else s for s in t[1:])
+    return [("block" if p >= reject else "allow", shown(t), round(p, 9)) for p, t in zip(purity, names)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_templates_equal_a_plain_python_judge(spark, seed):
+    rng = random.Random(seed)
+    parts = ["a", "b", "*", "**", "~", "c.html", "p7.html", "12", "x9"]
+    found = []
+    for i in range(600):
+        host = rng.choice(["h.net"] * 4 + ["i.com", "j.org"])
+        path = "".join("/" + rng.choice(parts if rng.random() < 0.8 else [f"rare{chr(97 + i % 26)}"]) for _ in range(rng.randint(0, 4)))
+        likely = 0.9 if path.startswith(("/a", "/~/b")) else 0.1
+        label = None if rng.random() < 0.4 or host == "j.org" else rng.random() < likely
+        found.append((host, path, label))
+    df = spark.createDataFrame([(i, f"x://{h}{p}?q", l) for i, (h, p, l) in enumerate(found)], "page_id long, url string, blocked boolean")
+    rows = {r["page_id"]: (r["verdict"], r["template"], round(r["purity"], 9)) for r in urls.judge(df, [], F.col("blocked")).collect()}
+    assert [rows[i] for i in range(len(found))] == plain_judge(found)
+
+
 # ---------------------------------------------------------------- sketches
 
 
