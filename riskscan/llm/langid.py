@@ -24,7 +24,6 @@ teach once; repeated rows are judged alike; an empty table gives an empty result
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,10 +35,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 NONE = "und"
-#: Numbers that are no decimal digits, such as fractions and superscripts.
-OTHER_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-#: Everything but letters; numbers, marks and signs say little about a language.
-NO_LETTERS = re.compile(rf"[\W\d_{OTHER_NUMBERS}]+")
+#: Everything but letters; numbers, marks and signs say little about a language.  Fractions and the like remain.
+NO_LETTERS = re.compile(r"[\W\d_]+")
 AGAIN = 4
 STRETCH = 32_768
 LEVEL = 3
@@ -48,7 +45,10 @@ RESULT = "lang_pred string, score double, rejected boolean"
 
 def letters(text: str | None) -> str:
     """The text's letters in lower case, words parted by one space."""
-    return NO_LETTERS.sub(" ", (text or "").lower()).strip()
+    found = NO_LETTERS.sub(" ", (text or "").lower()).strip()
+    if found and not found.replace(" ", "").isalpha():  # numbers of other kinds: seldom
+        found = " ".join("".join(c if c.isalpha() else " " for c in found).split())
+    return found
 
 
 Lesson = tuple[str, bytes, tuple[bytes, ...]]
