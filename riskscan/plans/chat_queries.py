@@ -12,10 +12,11 @@ from riskscan.operators import findings as fd
 from riskscan.operators.privacy import privacy_examples
 from riskscan.plans.fixtures import fixture, fixture_sql
 from riskscan.plans.matching_queries import PRIVACY_CTE, labelled_privacy
-from riskscan.plans.registry import query, quote, table, trim_sql
+from riskscan.plans.registry import query, quote, table, trim_sql, values_sql
 from riskscan.plans.report_queries import EXAMPLES_SQL
 from riskscan.plans.schema_queries import FLAGGED, NAME_SQL, RECOMMENDED, STATEMENTS
 from riskscan.plans.text_queries import route_sql
+from riskscan.taxonomy import DEFAULT
 
 ALL = pr.render_taxonomy("all")
 
@@ -62,6 +63,40 @@ PII_ANSWER = (
 )
 
 
+NL = "chr(10)"
+G1_SQL = f"""WITH l2(ord, l2_key, name) AS ({values_sql([(i, k, n) for i, (k, n) in enumerate(DEFAULT.l2.items())])}),
+risk(ord, l2_key, name) AS ({values_sql([(i, k, r) for k, rs in DEFAULT.macro_risks.items() for i, r in enumerate(rs)])}),
+pc(ord, pc_category, description) AS ({values_sql([(i, k, v) for i, (k, v) in enumerate(DEFAULT.protection.items())])}),
+pii(ord, name) AS ({values_sql(list(enumerate(DEFAULT.pii_types)))}),
+listed AS (SELECT l2.ord, l2.l2_key, any_value(l2.name) AS name, string_agg(risk.name, ', ' ORDER BY risk.ord) AS risks,
+  string_agg('   - ' || risk.name, {NL} ORDER BY risk.ord) AS points FROM l2 JOIN risk ON l2.l2_key = risk.l2_key GROUP BY l2.ord, l2.l2_key),
+parts AS (SELECT (SELECT string_agg(l2_key || '. ' || name, {NL} ORDER BY ord) FROM l2) AS labels,
+  (SELECT string_agg(l2_key || ': ' || risks, {NL} ORDER BY ord) FROM listed) AS risks,
+  (SELECT string_agg({NL} || l2_key || '. ' || name || ':' || {NL} || points, {NL} ORDER BY ord) FROM listed) AS points,
+  (SELECT string_agg(pc_category || ': ' || description, {NL} ORDER BY ord) FROM pc) AS levels,
+  (SELECT string_agg(name, ', ' ORDER BY ord) FROM pii) AS types, (SELECT string_agg('- ' || name, {NL} ORDER BY ord) FROM pii) AS bullets),
+rendered AS (
+  SELECT 'risk' AS kind, concat_ws({NL}, 'L2 Risk Categories:', labels, '', 'Macro Risks:', risks, '') AS taxonomy FROM parts
+  UNION ALL SELECT 'pii', concat_ws({NL}, 'PII Protection Categories:', levels, '', 'Common PII Types: ' || types, '') FROM parts
+  UNION ALL SELECT 'all', concat_ws({NL}, 'PART 1: SECURITY RISK CATEGORIES', '', 'L2 Categories:', labels, '',
+    'Macro Risks for each L2 Category:', points, '', '', 'PART 2: PII PROTECTION CATEGORIES', '', 'PII Protection Categories:',
+    levels, '', 'Common PII Types:', bullets, '') FROM parts),
+routed AS (SELECT {route_sql('text')} AS kind FROM documents),
+counted AS (SELECT kind, count(*) AS n FROM routed GROUP BY kind UNION ALL SELECT 'all', count(*) FROM routed)
+SELECT kind, CAST(n AS BIGINT) AS n, taxonomy FROM counted JOIN rendered USING (kind)"""
+
+
+@query("g1_render_taxonomy", G1_SQL)
+def g1(spark, sf):
+    """The categories that go into the prompt of every document, by the kind it is routed to, and of all."""
+    routed = table(spark, sf, "documents").select(route_text(F.col("text")).alias("kind"))
+    counted = routed.rollup("kind").agg(F.count("*").alias("n")).fillna("all", ["kind"])
+    rendered = F.lit(None).cast("string")
+    for kind in ("risk", "pii", "all"):
+        rendered = F.when(F.col("kind") == kind, F.lit(pr.render_taxonomy(kind))).otherwise(rendered)
+    return counted.withColumn("taxonomy", rendered)
+
+
 @query(
     "g2_risk_chat",
     f"SELECT id, {chat_sql('risk', pr.RISK_SYSTEM, pr.RISK_QUESTION, 'text', pr.RISK_FORMAT, RISK_ANSWER)} AS chat FROM ({EXAMPLES_SQL})",
