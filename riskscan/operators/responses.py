@@ -101,9 +101,12 @@ def flatten_results(df: DataFrame) -> DataFrame:
 
 def _states(df: DataFrame, is_risk: Column, taxonomy: Taxonomy) -> tuple[DataFrame, dict[str, Field], dict[str, Column]]:
     """The members of the parsed JSON, and how each response is read: _r_state or _p_state (ok / error / fallback)."""
+    # the members of the other kind of response are not looked for
+    df = df.withColumns({"_risk_json": F.when(is_risk, F.col("_json")), "_pii_json": F.when(~is_risk, F.col("_json"))})
+    members = {"l2_category": "_risk_json", "macro_risks": "_risk_json", "pc_category": "_pii_json", "pii_types": "_pii_json"}
     fields = {}
-    for name in ("l2_category", "macro_risks", "pc_category", "pii_types"):
-        df, fields[name] = with_field(df, "_json", name)
+    for name, parsed in members.items():
+        df, fields[name] = with_field(df, parsed, name)
     l2, risks, types = (fields[n] for n in ("l2_category", "macro_risks", "pii_types"))
     no_json = F.col("_json").isNull()
     known = label_key(l2.string).isin(*[k for k, risks in taxonomy.macro_risks.items() if risks])
