@@ -90,7 +90,11 @@ def write_results(results: DataFrame, out: str, fmt: str = "parquet", mode: str
     return path, summary
 
 
-def write_chat_split(chats: DataFrame, out: str, mode: str = "errorifexists") -> str:
-    """S9. Chat rows as JSON, one sub-folder per split."""
-    chats.select("split", "messages").write.mode(mode).partitionBy("split").json(out)
+def write_chat_split(chats: DataFrame, out: str, mode: str = "errorifexists", compression: str = "gzip") -> str:
+    """S9. Chat rows as JSON, one sub-folder per split.
+
+    Every row holds its whole prompt, mostly the taxonomy, some kilobytes that are the same in all
+    rows; so the files are compressed, which JSON readers see by their names.
+    """
+    chats.select("split", "messages").write.mode(mode).partitionBy("split").json(out, compression=compression)
     return out

@@ -4,6 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from riskscan.operators import chat as ch
 from riskscan.operators import findings as fd
 from riskscan.sources import json_arrays as ja
 from riskscan.sources import readers as rd
@@ -254,3 +255,14 @@ def test_a_large_json_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
         assert [r["text"] for r in rd.read_texts(spark, str(tmp_path / "small.json")).collect()] == ["small"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_chat_files_are_smaller_than_the_prompts_they_repeat(spark, tmp_path):
+    raw = spark.range(400).selectExpr("concat('finding number ', id) AS Title", "'5. Protect Data' AS L2", "'Removable Media' AS Risks")
+    chats = ch.chat_rows(ch.format_chat(ch.split_examples(fd.raw_to_examples(raw).withColumn("id", F.xxhash64("text")), "id")))
+    folder = wr.write_chat_split(chats.coalesce(1), str(tmp_path / "chats"))
+    on_disk = sum(p.stat().st_size for p in (tmp_path / "chats").rglob("part-*"))
+    assert on_disk * 10 < chats.agg(F.sum(F.octet_length(F.to_json("messages")))).first()[0]
+    written = spark.read.schema("split string, messages array<struct<role:string,content:string>>").json(folder)
+    kept = lambda df: sorted((r["split"], [tuple(m) for m in r["messages"]]) for r in df.select("split", "messages").collect())
+    assert kept(written) == kept(chats) and len(kept(written)) == 400
