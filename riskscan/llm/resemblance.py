@@ -1,32 +1,33 @@
 """Near copies by their shingles: Jaccard similarity of the sets of five-word shingles.
 
 SimHash within four bits, as in `simhash`, finds only a few of the texts that are 80
-percent alike.  Here every text gets ``BANDS`` further keys, each from ``ROWS``
-minimal hashes of its shingles: texts of similarity s share a given key with a chance
-of s ** ROWS, at 0.8 some key with one of 0.9998.  Texts that share a key are
-compared on their shingles, and those at or above the threshold are linked; SimHash's
-own links are added.
-
-A bucket (the texts of one key) is not compared pair by pair.  Each text is compared with one
-random text of its bucket, and leaves it when they are alike, so a large group of near copies costs
-one row a text.  The texts that are left get new keys, rare shingles: two
-sets of that similarity share one of their 1 + n - ceil(similarity * n) rarest shingles, whatever
-their own sizes n are, so each text goes on to the buckets of its rarest shingles (those that
-no other text left has need no bucket).  There the texts are dealt to one slot, then two, four
-and more, and compared with one text of their slot each time, until none is left.  So a text costs at most
-a row for each rare shingle and doubling, however many texts share its keys; texts that
-share a passage but have words of their own don't meet any more at all.
-
-That no alike texts are lost is likely, not certain: in a bucket of many texts that are not alike two
-that are may be compared with others only; most share many rare shingles, and so smaller buckets too.
+percent alike.  Here all texts whose sets of shingles have that similarity are connected as well, and
+none is left to chance; SimHash's own links are added.
+
+Two alike sets share at least ``similarity`` of each one's ``n`` shingles.  So, in any order that all sets go
+by, the first ``n - ceil(similarity * n) + k`` of both have ``k`` in common.  This is used twice.
+By the order of the hashes, ``k`` a twentieth of the shingles: texts of whose first shingles fewer recur
+in other texts drop out, which are most.  Then, among those that are left, by rarity and with
+``k = 1``: each text goes to the buckets of its rarest shingles (those that no other text left
+has need no bucket), so all that are alike meet in some bucket.
+
+In a bucket, a few turns compare each text with one of its slot (one slot, then two, four and
+more), and texts leave it when they are alike; this connects most of a large group of near copies at a row a
+text.  Then all pairs of a bucket that are not yet connected are compared, but for those
+whose sizes or sketches rule it out.  A sketch has a bit for the parity of each of ``SKETCH_BITS`` parts
+of a set: sketches differ in no more bits than the sets do in shingles.
+
+What grows faster than the table is the comparison of sketches in a bucket that holds several
+large groups which are not connected; rows come only from pairs that may be alike.
 
 Defined results: texts of equal shingles are one text; a text of fewer than five words
-has one shingle; texts without words have no keys, SimHash links them as fingerprint
+has one shingle; texts without words have no shingles, SimHash links them as fingerprint
 zero; a null doc_id and an empty table as in `simhash`.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +38,15 @@ from pyspark.sql import functions as F
 
 from riskscan.llm import simhash
 from riskscan.llm.common import written
+from riskscan.llm.components import connected
 
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 16, 4
-HASHED_AT_ONCE = 1 << 12
-
-_DRAWN = np.random.default_rng(42).integers(0, 1 << 63, (3, BANDS * ROWS), dtype=np.uint64)
-FLIPS, FACTORS, MIXERS = _DRAWN[0], _DRAWN[1] * np.uint64(2) + np.uint64(1), _DRAWN[2] * np.uint64(2) + np.uint64(1)
+#: Of how many shingles one more is looked at in the order of hashes, and turns that go before the comparison of all.
+SPARE, TURNS = 20, 4
+SKETCH_BITS = 1024
+#: Keeps products that should be whole from being rounded up to the next number.
+ROUNDING = 1e-9
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -62,41 +64,57 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(mixed)
 
 
-def band_keys(found: np.ndarray) -> np.ndarray:
-    """A key for each band, from the minimal hashes of its rows."""
-    if not len(found):
-        return np.zeros(0, np.int64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(found), HASHED_AT_ONCE):
-        part = found[at:at + HASHED_AT_ONCE, None]
-        np.minimum(least, ((part ^ FLIPS) * FACTORS).min(axis=0), out=least)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for row in range(ROWS):
-        keys = (keys ^ least[row::ROWS]) * MIXERS[row::ROWS]
-        keys ^= keys >> np.uint64(32)
-    return keys.view(np.int64)
+def least_common(n: int, similarity: float) -> int:
+    """So many of its n shingles a set shares with an alike one at least."""
+    return math.ceil(similarity * n - ROUNDING)
+
+
+def first_shingles(found: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles by hash: two alike sets share a twentieth of the smaller one's (rounded up) among them."""
+    n = len(found)
+    return found[:n - least_common(n, similarity) + -(-n // SPARE)].view(np.int64)
+
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """The parity of the set's share in each of SKETCH_BITS parts, as 64-bit numbers."""
+    parts = (found * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)
+    odd = np.bincount(parts.astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
-def marks(docs: DataFrame) -> DataFrame:
-    """(doc_id, text hash, SimHash fingerprint, hash of the set of shingles or null, band keys) of every row."""
 
-    @F.pandas_udf("fp long, shingled long, keys array<long>")
+def marks(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, text hash, SimHash fingerprint, hash of the set of shingles or null, their number, the first of them) of every row."""
+
+    @F.pandas_udf("fp long, shingled long, n int, first array<long>")
     def marked(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             sets = [shingles(t) for t in batch]
             yield pd.DataFrame({
                 "fp": pd.Series([simhash.fingerprint(t) for t in batch], dtype="int64"),
                 "shingled": pd.Series([int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None for s in sets], dtype="Int64"),
-                "keys": [band_keys(s) for s in sets],
+                "n": pd.Series([len(s) for s in sets], dtype="int32"),
+                "first": [first_shingles(s, similarity) for s in sets],
             })
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("hashed"), marked("text").alias("_mark"))
     return rows.select("doc_id", "hashed", "_mark.*")
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """The rows of buckets that hold different texts."""
-    apart = rows.groupBy("key").agg(F.min("shingled").alias("_a"), F.max("shingled").alias("_b")).where("_a <> _b")
+def recurring(marked: DataFrame, similarity: float) -> DataFrame:
+    """The sets (shingled) of whose first shingles so many stand in other sets too that one of these may be alike."""
+    sets = written(marked.where("shingled is not null").groupBy("shingled").agg(
+        F.any_value("n").alias("n"), F.any_value("first").alias("first")
+    ), "first")
+    keys = sets.select("shingled", "n", F.explode("first").alias("key"))
+    often = keys.groupBy("key").agg(F.count("*").alias("_often")).where("_often > 1")
+    found = keys.join(often.select("key"), "key", "left_semi").groupBy("shingled", "n").agg(F.count("*").alias("_found"))
+    # an alike set may be smaller, and so have fewer to spare
+    return found.where(F.col("_found") >= F.ceil(F.ceil(similarity * F.col("n") - ROUNDING) / SPARE)).select("shingled")
+
+
+def shared(rows: DataFrame, of: str = "shingled") -> DataFrame:
+    """The rows of buckets that hold different texts, or other things by that column."""
+    apart = rows.groupBy("key").agg(F.min(of).alias("_a"), F.max(of).alias("_b")).where("_a <> _b")
     return rows.join(apart.select("key"), "key", "left_semi")
 
 
@@ -126,8 +144,8 @@ def compared(rows: DataFrame, sets: DataFrame, similarity: float, turn: int) ->
 
 
 def rarest(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The texts (shingled) under new keys: each text's rarest shingles that other texts left have."""
-    held = left.select("shingled").distinct().join(sets, "shingled").select(
+    """The texts (shingled) under keys: each text's rarest shingles that other texts left have."""
+    held = left.join(sets, "shingled").select(
         "shingled", F.size("shingles").alias("_n"), F.explode("shingles").alias("_shingle")
     )
     often = held.groupBy("_shingle").agg(F.count("*").alias("_often")).where("_often > 1")
@@ -137,43 +155,62 @@ def rarest(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         F.row_number().over(of_text.orderBy("_often", "_shingle")).alias("_rank"),
     )
     # those that only this text has are rarer than all others
-    kept = ranked.where(F.col("_rank") + F.col("_n") - F.col("_shared") <= 1 + F.col("_n") - F.ceil(similarity * F.col("_n")))
+    kept = ranked.where(F.col("_rank") + F.col("_n") - F.col("_shared") <= 1 + F.col("_n") - F.ceil(similarity * F.col("_n") - ROUNDING))
     return kept.select(F.col("_shingle").alias("key"), "shingled")
 
 
-def similar(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY) -> DataFrame | None:
-    """Links (a, b) between the sets of shingles that are alike; None if no two texts share a key."""
-    rows = written(shared(marked.select("shingled", F.explode("keys").alias("key"))).distinct(), "bands")
-    if rows.isEmpty():
-        return None
+def unconnected(rows: DataFrame, groups: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that share a bucket, are in different groups (node, root), and may be alike by their sizes and sketches."""
+    grouped = rows.join(groups, F.col("shingled") == F.col("node"), "left").select(
+        "key", "shingled", F.coalesce("root", "shingled").alias("group")
+    )
+    apart = shared(grouped, "group").join(sets.select("shingled", F.size("shingles").alias("n"), "sketch"), "shingled")
+    held = written(apart, "apart")
+    a, b = (held.select(*[F.col(c).alias(f"{c}_{x}") for c in held.columns]) for x in "ab")
+    differ = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    sizes = F.col("n_a") + F.col("n_b")
+    may = (
+        (F.col("shingled_a") < F.col("shingled_b")) & (F.col("group_a") != F.col("group_b"))
+        & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - ROUNDING)
+        & (differ * (1 + similarity) <= sizes * (1 - similarity) + ROUNDING * sizes)
+    )
+    met = a.join(b, (F.col("key_a") == F.col("key_b")) & may)
+    return met.select(F.col("shingled_a").alias("a"), F.col("shingled_b").alias("b")).distinct()
+
+
+def similar(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between sets of shingles that are alike, by which all that are alike are connected."""
     some = marked.where("shingled is not null").groupBy("shingled").agg(F.min("hashed").alias("hashed"))
-    some = some.join(rows.select("shingled").distinct(), "shingled", "left_semi")
+    some = some.join(recurring(marked, similarity), "shingled", "left_semi")
 
-    @F.pandas_udf("array<long>")
-    def shingled(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("shingles array<long>, sketch array<long>")
+    def shingled(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            yield pd.Series([shingles(t).view(np.int64) for t in batch])
+            found = [shingles(t) for t in batch]
+            yield pd.DataFrame({"shingles": [s.view(np.int64) for s in found], "sketch": [sketch(s) for s in found]})
 
     texts = docs.select(F.xxhash64("text").alias("hashed"), "text").join(some, "hashed")
-    sets = written(texts.groupBy("shingled").agg(F.min("text").alias("text")).select("shingled", shingled("text").alias("shingles")), "shingles")
-    links, left = compared(rows, sets, similarity, 0)
-    rows, turn = written(shared(rarest(written(shared(left), "left"), sets, similarity)), "bands"), 0
-    while not rows.isEmpty():
-        found, left = compared(rows, sets, similarity, turn)
-        links, turn = links.unionByName(found), turn + 1
-        rows = written(shared(left), "bands")
-    return links.distinct()
+    sets = texts.groupBy("shingled").agg(F.min("text").alias("text")).select("shingled", shingled("text").alias("_set"))
+    sets = written(sets.select("shingled", "_set.*"), "shingles")
+    rows = written(shared(rarest(sets.select("shingled"), sets, similarity)), "rare")
+    links, left = sets.select(F.col("shingled").alias("a"), F.col("shingled").alias("b")).where(F.lit(False)), rows
+    for turn in range(TURNS):
+        if left.isEmpty():
+            break
+        found, left = compared(left, sets, similarity, turn)
+        links, left = links.unionByName(found), written(shared(left), "left")
+    links = written(links.distinct(), "links")
+    return links.unionByName(alike(unconnected(rows, connected(links), sets, similarity), sets, similarity))
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents without near copies: of each group that links connect, the smallest doc_id stays."""
-    marked = written(marks(docs), "marks")
+    marked = written(marks(docs, similarity), "marks")
     fps = marked.where("shingled is not null").groupBy("shingled").agg(F.min("fp").alias("_fp"))
     links = simhash.near_links(marked.select("fp").distinct())
     same = marked.select("shingled", "fp").distinct().join(fps, "shingled").where("fp <> _fp")
     links = links.unionByName(same.select(F.col("_fp").alias("a"), F.col("fp").alias("b")))
-    found = similar(docs, marked, similarity)
-    if found is not None:
-        of = lambda c: fps.select(F.col("shingled").alias(c), F.col("_fp").alias(f"_{c}"))
-        links = links.unionByName(found.join(of("a"), "a").join(of("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    found = written(similar(docs, marked, similarity), "similar")
+    of = lambda c: fps.select(F.col("shingled").alias(c), F.col("_fp").alias(f"_{c}"))
+    links = links.unionByName(found.join(of("a"), "a").join(of("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
     return simhash.stay(docs, simhash.grouped(marked.select("doc_id", "fp"), links))

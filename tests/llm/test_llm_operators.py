@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import corpus_pipeline
 import numpy as np
@@ -212,6 +213,40 @@ def test_texts_that_share_a_passage_cost_rows_in_proportion(spark, monkeypatch):
     assert compared[-1] <= 20 * sizes[-1] and compared[-1] <= 2.5 * compared[-2] <= 6.25 * compared[-3]
 
 
+def test_no_link_between_alike_texts_is_left_to_chance(spark):
+    """Families in which each text is alike its parent and few others: all shingles recur, and any link lost parts a family."""
+    drawn, texts = random.Random(7), []
+    for family in range(8):
+        members = [[f"f{family}w{i}" for i in range(60)]]
+        while len(members) < 60:
+            words = list(drawn.choice(members))
+            words[drawn.randrange(60)] = f"f{family}x{drawn.randrange(12)}"
+            members.append(words)
+        texts += dict.fromkeys(" ".join(m) for m in members)
+    texts += ["one two three four five six seven eight", "one two three four five six seven eight nine"]  # 4 shingles of 5
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    marked = resemblance.marks(docs)
+    node = {r["shingled"]: r["doc_id"] for r in marked.collect()}
+    sets = [set(resemblance.shingles(t).tolist()) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    def groups(pairs):
+        parent[:] = range(len(texts))
+        for a, b in pairs:
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+        return [root(i) for i in range(len(texts))]
+
+    alike = {(a, b) for a, b in combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    found = {tuple(sorted((node[r["a"]], node[r["b"]]))) for r in resemblance.similar(docs, marked).collect()}
+    assert found <= alike
+    assert groups(found) == groups(alike)
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = connected(links).agg(F.count("*"), F.count_distinct("root")).first()
