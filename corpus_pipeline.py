@@ -17,7 +17,18 @@ from riskscan.llm.common import fresh_path, table, tokenizer_file
 ORACLE_SQL = None
 
 
+#: Rows that cross to Python at a time, where the session keeps Spark's 10,000: of whole texts that is 50 MB and more a
+#: task, several times over in the JVM and the worker.
+BATCH_ROWS, BATCH_CONF = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    in_small_batches(spark)
     return langid.in_a_language(docs)
 
 
@@ -26,15 +37,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    in_small_batches(spark)
     return resemblance.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    in_small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    in_small_batches(spark)
     # a smaller memo than op7's: the same workers hold what earlier stages needed
     pieces = packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), memo_parts=200_000)
     return pieces.select(

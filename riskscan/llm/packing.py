@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskscan.llm.common import by_range
-from riskscan.llm.encoding import MEMO_PARTS, encoder
+from riskscan.llm.encoding import MEMO_PARTS, Encoder, encoder
 
 SENTENCE_PENALTY, INSIDE_PENALTY, SEQUENCE_COST = 4, 64, 16
 POWERS = (64, 128, 256, 512)
@@ -37,15 +37,11 @@ SCHEMA = (
 
 
 @lru_cache(maxsize=2)
-def sentence_ends(path: str) -> np.ndarray:
-    """By id: does the token end a sentence or a line?"""
-    from tokenizers import Tokenizer
-
-    vocab = Tokenizer.from_file(path).get_vocab()
-    ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-    for token, at in vocab.items():
-        ends[at] = token[-1:] in (".", "!", "?", "Ċ")  # the last is a line end in byte-level form
-    return ends
+def sentence_ends(coder: Encoder) -> np.ndarray:
+    """By id: does the token end a sentence or a line?  Of the loaded tokenizer, since a second one takes much memory."""
+    token = coder.tokenizer.id_to_token
+    ends = (".", "!", "?", "Ċ")  # the last is a line end in byte-level form
+    return np.array([(token(at) or "")[-1:] in ends for at in range(coder.tokenizer.get_vocab_size())], dtype=bool)
 
 
 def cut_points(ends: np.ndarray, sentences: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +133,8 @@ def pack(
     ])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, is_end = encoder(tokenizer, spaced, memo_parts).encode, sentence_ends(tokenizer)
+        coder = encoder(tokenizer, spaced, memo_parts)
+        encode, is_end = coder.encode, sentence_ends(coder)
         block, size, current, used = [], 0, None, 0
 
         def flush() -> pa.RecordBatch:
