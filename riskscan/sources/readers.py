@@ -69,6 +69,8 @@ SOURCE, NOT_TEXT = "source_file", fd.NOT_TEXT
 #: Cells of one record at most, and bytes of a table with a row per file up to which it is broadcast.
 MAX_CELLS, BROADCAST_BYTES = 1 << 20, 1 << 26
 INTEGER = r"^[+-]?\d{1,18}$"
+#: What every number looks like (decimal, hexadecimal, infinite or none), and little else: a failed cast costs an exception.
+MAYBE_NUMBER = r"^[\x00-\x20]*[+-]?(\.?[0-9]|[iI][nN][fF]|[nN][aA][nN])[\x00-\x20+\-.0-9a-fA-FxXpPiInNtTyY]*$"
 TRUE_WORDS, FALSE_WORDS = ["True", "TRUE", "true"], ["False", "FALSE", "false"]
 
 
@@ -232,7 +234,7 @@ def _typed(table: DataFrame, names: list[str]) -> DataFrame:
         return (
             F.when(F.count_if(filled) == 0, None)
             .when(every(c.rlike(INTEGER)) & ~some_missing, "int")
-            .when(every(c.try_cast("double").isNotNull()), "float")
+            .when(every(F.when(c.rlike(MAYBE_NUMBER), c.try_cast("double").isNotNull()).otherwise(False)), "float")
             .when(every(c.isin(*TRUE_WORDS, *FALSE_WORDS)) & ~some_missing, "bool")
             .otherwise("text")
         )

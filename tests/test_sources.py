@@ -266,3 +266,15 @@ def test_chat_files_are_smaller_than_the_prompts_they_repeat(spark, tmp_path):
     written = spark.read.schema("split string, messages array<struct<role:string,content:string>>").json(folder)
     kept = lambda df: sorted((r["split"], [tuple(m) for m in r["messages"]]) for r in df.select("split", "messages").collect())
     assert kept(written) == kept(chats) and len(kept(written)) == 400
+
+
+def test_only_cells_that_may_be_numbers_are_cast(spark):
+    """A failed cast costs an exception: texts must not come to it, and everything that a cast takes must."""
+    numbers = ["7", "-7", "+7.5", ".5", "5.", "1e5", "1E-5", "1.5d", "2F", "0x1p3", "0X1.8P-2", "NaN", "nan", "Infinity", "-inf", "+INF",
+               "infinity", "\t5", "5\n", "1_0", "--5", "1e", "inf5", "nano", "0x", ".", "+", "-nan", "٥", "1,5"]
+    words = ["5. Protect Data", "Network Segmentation", "identity", "no such label", "ticket 12", "True", "Infinite loop", "2024-01-01 report"]
+    cells = spark.createDataFrame([(c,) for c in numbers + words], "c string")
+    found = cells.select("c", F.col("c").try_cast("double").isNotNull().alias("number"), F.col("c").rlike(rd.MAYBE_NUMBER).alias("may")).collect()
+    assert [r["c"] for r in found if r["number"] and not r["may"]] == []
+    assert sum(r["number"] for r in found) >= 17
+    assert [r["c"] for r in found if r["may"] and r["c"] in words] == []
