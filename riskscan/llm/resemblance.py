@@ -11,11 +11,14 @@ in other texts drop out, which are most.  Then, among those that are left, by ra
 ``k = 1``: each text goes to the buckets of its rarest shingles (those that no other text left
 has need no bucket), so all that are alike meet in some bucket.
 
-In a bucket, a few turns compare each text with one of its slot (one slot, then two, four and
-more), and texts leave it when they are alike; this connects most of a large group of near copies at a row a
-text.  Then all pairs of a bucket that are not yet connected are compared, but for those
-whose sizes or sketches rule it out.  A sketch has a bit for the parity of each of ``SKETCH_BITS`` parts
-of a set: sketches differ in no more bits than the sets do in shingles.
+In a bucket, a few turns compare each text with one of its slot (one slot, two, four and
+more); this connects most of a large group of near copies at a few rows a text.  Then all pairs of a
+bucket that are not yet connected are compared.  Shingles are compared only of pairs that sizes and sketches don't
+rule out.  A sketch has a bit for the parity of each of ``SKETCH_BITS`` parts of a set: sketches differ
+in no more bits than the sets do in shingles.
+
+What is shuffled is a multiple of the table, so that bulky columns move seldom: texts twice, each one's first shingles
+once, the shingles of the texts left by hash, and their sets twice.
 
 What grows faster than the table is the comparison of sketches in a bucket that holds several
 large groups which are not connected; rows come only from pairs that may be alike.
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskscan.llm import simhash
@@ -44,6 +47,8 @@ WORDS = 5
 SIMILARITY = 0.8
 #: Of how many shingles one more is looked at in the order of hashes, and turns that go before the comparison of all.
 SPARE, TURNS = 20, 4
+#: Bits of a first shingle that are not shuffled; of 48 bits so few fall together by chance that hardly a set is added.
+KEY_CUT = 16
 SKETCH_BITS = 1024
 #: Keeps products that should be whole from being rounded up to the next number.
 ROUNDING = 1e-9
@@ -101,15 +106,20 @@ def marks(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def recurring(marked: DataFrame, similarity: float) -> DataFrame:
-    """The sets (shingled) of whose first shingles so many stand in other sets too that one of these may be alike."""
-    sets = written(marked.where("shingled is not null").groupBy("shingled").agg(
-        F.any_value("n").alias("n"), F.any_value("first").alias("first")
-    ), "first")
-    keys = sets.select("shingled", "n", F.explode("first").alias("key"))
-    often = keys.groupBy("key").agg(F.count("*").alias("_often")).where("_often > 1")
-    found = keys.join(often.select("key"), "key", "left_semi").groupBy("shingled", "n").agg(F.count("*").alias("_found"))
+    """The sets (shingled) of whose first shingles so many stand in other sets too that one of these may be alike.
+
+    Shingles that no other set has are counted, which takes one shuffle of the shingles: a shingle whose smallest and
+    greatest set are one is its own.  Their last ``KEY_CUT`` bits are left out; what falls together by that only adds sets.
+    """
+    sets = marked.where("shingled is not null")
+    keys = sets.select("shingled", F.explode("first").alias("key")).withColumn("key", F.shiftrightunsigned("key", KEY_CUT))
+    ends = keys.groupBy("key").agg(F.min("shingled").alias("shingled"), F.max("shingled").alias("_last"))
+    own = ends.where("shingled = _last").groupBy("shingled").agg(F.count("*").alias("_own"))
+    sizes = sets.groupBy("shingled").agg(F.any_value("n").alias("n"), F.any_value(F.size("first")).alias("_first"))
+    found = F.col("_first") - F.coalesce("_own", F.lit(0))
     # an alike set may be smaller, and so have fewer to spare
-    return found.where(F.col("_found") >= F.ceil(F.ceil(similarity * F.col("n") - ROUNDING) / SPARE)).select("shingled")
+    least = F.ceil(F.ceil(similarity * F.col("n") - ROUNDING) / SPARE)
+    return sizes.join(own, "shingled", "left").where(found >= least).select("shingled")
 
 
 def shared(rows: DataFrame, of: str = "shingled") -> DataFrame:
@@ -128,25 +138,37 @@ def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where((F.least(a, b) >= similarity * F.greatest(a, b)) & (common >= similarity * (a + b - common))).select("a", "b")
 
 
-def compared(rows: DataFrame, sets: DataFrame, similarity: float, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Compares each text (key, shingled) with one text of its bucket's slot, of ``2 ** turn`` slots.
+def tried(rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) of each text of a bucket with one of its slot, of one slot, of two, of four and more."""
+    slots = F.explode(F.array(*[F.lit(1 << turn) for turn in range(TURNS)]))
+    rank = F.xxhash64("_slots", "key", "shingled")
+    dealt = rows.select("key", "shingled", slots.alias("_slots")).select("*", rank.alias("_rank"), F.pmod(rank, "_slots").alias("_slot"))
+    centres = dealt.groupBy("key", "_slots", "_slot").agg(F.min_by("shingled", "_rank").alias("_centre"))
+    met = dealt.join(centres, ["key", "_slots", "_slot"]).where("shingled <> _centre")
+    return met.select(F.least("shingled", "_centre").alias("a"), F.greatest("shingled", "_centre").alias("b")).distinct()
 
-    Gives the links (a, b), and the rows of the texts that were not alike and were not compared with.
-    """
-    rank = F.xxhash64(F.lit(turn), "key", "shingled")
-    dealt = rows.select("key", "shingled", rank.alias("_rank"), F.pmod(rank, F.lit(1 << min(turn, 62))).alias("_slot"))
-    centres = dealt.groupBy("key", "_slot").agg(F.min_by("shingled", "_rank").alias("_centre"))
-    tried = written(dealt.join(centres, ["key", "_slot"]).where("shingled <> _centre").select(
-        "key", "shingled", F.least("shingled", "_centre").alias("a"), F.greatest("shingled", "_centre").alias("b")
-    ), "tried")
-    links = written(alike(tried.select("a", "b").distinct(), sets, similarity), "alike")
-    return links, tried.join(links, ["a", "b"], "left_anti").select("key", "shingled")
+
+def may_be_alike(a: str, b: str, similarity: float) -> Column:
+    """Whether the sizes ``n`` and the sketches of two sets, in columns of these suffixes, leave it open that they are alike."""
+    of = lambda c, x: F.col(f"{c}_{x}")
+    differ = sum((F.bit_count(of("sketch", a)[i].bitwiseXOR(of("sketch", b)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    sizes = of("n", a) + of("n", b)
+    return (
+        (F.least(of("n", a), of("n", b)) >= similarity * F.greatest(of("n", a), of("n", b)) - ROUNDING)
+        & (differ * (1 + similarity) <= sizes * (1 - similarity) + ROUNDING * sizes)
+    )
 
 
-def rarest(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def open_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) that may be alike by their sizes and sketches."""
+    of = lambda x: sets.select(F.col("shingled").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(may_be_alike("a", "b", similarity)).select("a", "b")
+
+
+def rarest(sets: DataFrame, similarity: float) -> DataFrame:
     """The texts (shingled) under keys: each text's rarest shingles that other texts left have."""
-    held = left.join(sets, "shingled").select(
-        "shingled", F.size("shingles").alias("_n"), F.explode("shingles").alias("_shingle")
+    held = sets.select(
+        "shingled", F.col("n").alias("_n"), F.explode("shingles").alias("_shingle")
     )
     often = held.groupBy("_shingle").agg(F.count("*").alias("_often")).where("_often > 1")
     of_text = Window.partitionBy("shingled")
@@ -164,17 +186,11 @@ def unconnected(rows: DataFrame, groups: DataFrame, sets: DataFrame, similarity:
     grouped = rows.join(groups, F.col("shingled") == F.col("node"), "left").select(
         "key", "shingled", F.coalesce("root", "shingled").alias("group")
     )
-    apart = shared(grouped, "group").join(sets.select("shingled", F.size("shingles").alias("n"), "sketch"), "shingled")
+    apart = shared(grouped, "group").join(sets.select("shingled", "n", "sketch"), "shingled")
     held = written(apart, "apart")
     a, b = (held.select(*[F.col(c).alias(f"{c}_{x}") for c in held.columns]) for x in "ab")
-    differ = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    sizes = F.col("n_a") + F.col("n_b")
-    may = (
-        (F.col("shingled_a") < F.col("shingled_b")) & (F.col("group_a") != F.col("group_b"))
-        & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - ROUNDING)
-        & (differ * (1 + similarity) <= sizes * (1 - similarity) + ROUNDING * sizes)
-    )
-    met = a.join(b, (F.col("key_a") == F.col("key_b")) & may)
+    apart_still = (F.col("shingled_a") < F.col("shingled_b")) & (F.col("group_a") != F.col("group_b"))
+    met = a.join(b, (F.col("key_a") == F.col("key_b")) & apart_still & may_be_alike("a", "b", similarity))
     return met.select(F.col("shingled_a").alias("a"), F.col("shingled_b").alias("b")).distinct()
 
 
@@ -183,23 +199,20 @@ def similar(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY)
     some = marked.where("shingled is not null").groupBy("shingled").agg(F.min("hashed").alias("hashed"))
     some = some.join(recurring(marked, similarity), "shingled", "left_semi")
 
-    @F.pandas_udf("shingles array<long>, sketch array<long>")
+    @F.pandas_udf("n int, shingles array<long>, sketch array<long>")
     def shingled(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             found = [shingles(t) for t in batch]
-            yield pd.DataFrame({"shingles": [s.view(np.int64) for s in found], "sketch": [sketch(s) for s in found]})
+            yield pd.DataFrame({
+                "n": pd.Series([len(s) for s in found], dtype="int32"),
+                "shingles": [s.view(np.int64) for s in found], "sketch": [sketch(s) for s in found],
+            })
 
-    texts = docs.select(F.xxhash64("text").alias("hashed"), "text").join(some, "hashed")
-    sets = texts.groupBy("shingled").agg(F.min("text").alias("text")).select("shingled", shingled("text").alias("_set"))
+    texts = docs.select(F.xxhash64("text").alias("hashed"), "text").groupBy("hashed").agg(F.min("text").alias("text"))
+    sets = texts.join(some, "hashed").select("shingled", shingled("text").alias("_set"))
     sets = written(sets.select("shingled", "_set.*"), "shingles")
-    rows = written(shared(rarest(sets.select("shingled"), sets, similarity)), "rare")
-    links, left = sets.select(F.col("shingled").alias("a"), F.col("shingled").alias("b")).where(F.lit(False)), rows
-    for turn in range(TURNS):
-        if left.isEmpty():
-            break
-        found, left = compared(left, sets, similarity, turn)
-        links, left = links.unionByName(found), written(shared(left), "left")
-    links = written(links.distinct(), "links")
+    rows = written(shared(rarest(sets, similarity)), "rare")
+    links = written(alike(open_pairs(written(tried(rows), "tried"), sets, similarity), sets, similarity), "links")
     return links.unionByName(alike(unconnected(rows, connected(links), sets, similarity), sets, similarity))
 
 

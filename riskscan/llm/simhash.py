@@ -201,6 +201,8 @@ def one_of_each(docs: DataFrame, words: int = 4, half: int = 2) -> DataFrame:
 def stay(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The documents that stay, one for each component."""
     stays = groups.select(F.col("component_id").alias("_stays")).distinct()
-    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null").dropDuplicates(["text"]))
+    # one shuffle of the texts, by doc_id, is for both
+    one = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    named = one.join(stays, F.col("doc_id") == F.col("_stays"), "left_semi")
+    nameless = docs.where("doc_id is null").join(stays, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    return named.unionByName(nameless.dropDuplicates(["text"]))

@@ -1,9 +1,13 @@
 """The training-data operators against brute force, and on odd input."""
 
 import hashlib
+import json
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -766,3 +770,38 @@ def test_lines_on_odd_rows(odd, empty):
     assert linededup.without_repeats(empty).count() == 0
     plan = linededup.without_repeats(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+VOLUME = """
+import random, sys
+from pyspark.sql import SparkSession
+import corpus_pipeline
+folder = sys.argv[1]
+spark = (
+    SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+    .config("spark.sql.autoBroadcastJoinThreshold", "16k").config("spark.checkpoint.dir", f"{folder}/shared")
+    .config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false").config("spark.eventLog.dir", f"file://{folder}/events")
+    .config("spark.eventLog.rolling.enabled", "false").getOrCreate()
+)
+drawn, texts = random.Random(5), []
+for i in range(400):
+    words = [f"w{drawn.randrange(20000)}" for _ in range(1500)]
+    texts += [" ".join(words)] + ([" ".join(words[:-40])] if i % 5 == 0 else [])
+rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{folder}/in")
+kept = corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{folder}/in"), "")
+kept.write.parquet(f"{folder}/out")
+assert spark.read.parquet(f"{folder}/out").count() == 400
+spark.stop()
+"""
+
+
+def test_near_dedup_moves_a_small_multiple_of_its_input(tmp_path):
+    """What is shuffled and written to scratch tables, by the event log: the stage's disk goes by it."""
+    (tmp_path / "events").mkdir()
+    subprocess.run([sys.executable, "-c", VOLUME, str(tmp_path)], check=True, cwd=tmp_path, timeout=600,
+                   env=os.environ | {"PYTHONPATH": os.path.dirname(corpus_pipeline.__file__)})
+    size = lambda folder: sum(p.stat().st_size for p in (tmp_path / folder).rglob("*.parquet"))
+    ends = [json.loads(line) for log in (tmp_path / "events").iterdir() for line in log.open() if '"SparkListenerTaskEnd"' in line]
+    shuffled = sum(e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"] for e in ends)
+    assert shuffled + size("shared") <= 12.75 * size("in")
